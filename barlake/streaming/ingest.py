@@ -26,7 +26,8 @@ def stream_landing(
 
     A file is never split over two batches, so its header is always seen with its rows. A batch
     that is replayed after a failure finds its keys in the master and adds nothing, so no state is
-    kept and late bars are accepted at any time.
+    kept and late bars are accepted at any time. A later file of the same series needs a new name,
+    such as ``AAPL_20240109_5m.csv``: the first and the last part of the name are the keys.
     """
     files_fit = max_files_per_trigger <= BROADCAST_ROWS or None
     sizes = timeframes or [DAILY, *INTRADAY]
