@@ -70,11 +70,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bars_dirty(spark: SparkSession, sf_dir: str, with_delivery: bool = False) -> DataFrame:
-    events = table(spark, sf_dir, "events").withColumn("moved", F.expr(MOVED_TS))
-    types = {f.name: f.dataType for f in BARS}
-    columns = [F.expr(expression).cast(types[name]).alias(name) for name, expression in DIRTY_COLUMNS.items()]
-    bars = events.select(*columns, F.expr(DELIVERY).alias("delivery"))
-    return bars.select(*BAR_COLUMNS, "delivery") if with_delivery else bars.select(*BAR_COLUMNS)
+    types = {f.name: f.dataType.simpleString() for f in BARS}
+    events = table(spark, sf_dir, "events").selectExpr("*", f"{MOVED_TS} AS moved")
+    columns = [f"CAST({DIRTY_COLUMNS[name]} AS {types[name]}) AS {name}" for name in BAR_COLUMNS]
+    return events.selectExpr(*columns, *([f"{DELIVERY} AS delivery"] if with_delivery else []))
 
 
 def bars_clean(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,55 +1,43 @@
-"""SCL-14: issue texts, in the fixed wording of the check results."""
+"""SCL-14: issue texts, in the fixed wording of the check results, as SQL over the counter columns."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from barlake.schema import DAILY, TIMEFRAME, VALUES
 
-from barlake.schema import DAILY, TIMEFRAME
 
+def missing_values() -> str:
+    listed = ", ', ', ".join(f"'\\'{c.capitalize()}\\': ', n_missing_{c}" for c in VALUES)
+    return f"concat('Missing values: {{', {listed}, '}}')"
 
-def _n(count: Column) -> Column:
-    return count.cast("string")
 
+def duplicate_timestamps() -> str:
+    return "concat('Found ', n_duplicates, ' duplicate timestamps')"
 
-def missing_values(counts: dict[str, Column]) -> Column:
-    parts: list[Column] = []
-    for position, (label, count) in enumerate(counts.items()):
-        parts += [F.lit(f"{', ' if position else ''}'{label}': "), _n(count)]
-    return F.concat(F.lit("Missing values: {"), *parts, F.lit("}"))
 
-
-def duplicate_timestamps(count: Column) -> Column:
-    return F.concat(F.lit("Found "), _n(count), F.lit(" duplicate timestamps"))
-
-
-def price_inconsistency(high_low: Column, close_out: Column, open_out: Column) -> Column:
+def price_inconsistency() -> str:
     """Parts with a zero count are NULL, and concat_ws skips them."""
-
-    def part(label: str, count: Column) -> Column:
-        return F.when(count > 0, F.concat(F.lit(label), _n(count), F.lit(" rows")))
-
-    return F.concat_ws(
-        "; ",
-        part("High < Low: ", high_low),
-        part("Close outside High/Low range: ", close_out),
-        part("Open outside High/Low range: ", open_out),
-    )
+    parts = [
+        ("High < Low: ", "n_high_low"),
+        ("Close outside High/Low range: ", "n_close_out"),
+        ("Open outside High/Low range: ", "n_open_out"),
+    ]
+    listed = ", ".join(f"CASE WHEN {n} > 0 THEN concat('{label}', {n}, ' rows') END" for label, n in parts)
+    return f"concat_ws('; ', {listed})"
 
 
-def volume_anomaly(count: Column) -> Column:
-    return F.concat(F.lit("Zero or negative volume: "), _n(count), F.lit(" rows"))
+def volume_anomaly() -> str:
+    return "concat('Zero or negative volume: ', n_no_volume, ' rows')"
 
 
-def outliers(count: Column) -> Column:
-    return F.concat(F.lit("Price outliers (|z| > 3): "), _n(count), F.lit(" occurrences"))
+def outliers() -> str:
+    return "concat('Price outliers (|z| > 3): ', n_outliers, ' occurrences')"
 
 
-def time_gaps(count: Column) -> Column:
-    tail = F.when(F.col(TIMEFRAME) == DAILY, " gaps > 3 days").otherwise(" gaps")
-    return F.concat(F.lit("Large time gaps detected: "), _n(count), tail)
+def time_gaps() -> str:
+    tail = f"CASE WHEN {TIMEFRAME} = '{DAILY}' THEN ' gaps > 3 days' ELSE ' gaps' END"
+    return f"concat('Large time gaps detected: ', n_gaps, {tail})"
 
 
-def grouped_digits(count: Column) -> Column:
+def grouped_digits(count: str) -> str:
     """Thousands separators for reports."""
-    return F.format_number(count, 0)
+    return f"format_number({count}, 0)"

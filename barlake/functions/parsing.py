@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # A time text must start with a four-digit year; a bare clock time would read as "today".
 _HAS_YEAR = r"^\s*\d{4}"
 # Spark reads "5d" and "5f" as numbers; as bar values they are bad text.
-_JAVA_SUFFIX = r"[0-9.]\s*[dDfF]\s*$"
+_TYPE_SUFFIXES = ("d", "D", "f", "F")
+_INFINITE = ("inf", "+inf", "-inf")
 
 
 def to_number(text: Column) -> Column:
     """SCL-7: text to double; bad text and NaN become NULL."""
-    number = F.when(~text.rlike(_JAVA_SUFFIX), text.try_cast("double"))
-    return F.nullif(number, F.lit(float("nan")))
+    plain = F.trim(text)
+    suffixed = reduce(or_, [plain.endswith(s) for s in _TYPE_SUFFIXES]) & ~F.lower(plain).isin(*_INFINITE)
+    return F.nullif(F.when(~suffixed, plain.try_cast("double")), F.lit(float("nan")))
 
 
 def to_bar_date(text: Column) -> Column:
@@ -63,11 +68,15 @@ def timeframe_of(stem: Column) -> Column:
 
 
 def csv_cells(line: Column) -> Column:
-    """One CSV line to its cells; empty cells become NULL. Quotes are honoured where present."""
+    """One CSV line to its raw cells. Quotes are honoured where present."""
     outside_quotes = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
     quoted = F.transform(
         F.split(line, outside_quotes),
         lambda c: F.replace(F.regexp_replace(c, r'^\s*"|"\s*$', ""), F.lit('""'), F.lit('"')),
     )
-    cells = F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ","))
-    return F.transform(cells, lambda c: F.nullif(F.trim(c), F.lit("")))
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ","))
+
+
+def cell_text(cell: Column) -> Column:
+    """A cell without surrounding blanks; an empty one is missing."""
+    return F.nullif(F.trim(cell), F.lit(""))

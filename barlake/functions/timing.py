@@ -7,7 +7,10 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from barlake.schema import DAILY, INTRADAY, TIMEFRAME, TS
+
 NO_TIME_SLOT = 2**63 - 1
+UNIT_SECONDS = {"m": 60, "h": 3600, "d": 86400}
 BARS_PER_SLOT = 1 << 12
 LONGEST_SLOT_SECONDS = 64 * 86400
 
@@ -32,23 +35,31 @@ def age_in_seconds(as_of: Column, latest: Column) -> Column:
     return (micros(as_of) - micros(latest)) / F.lit(1_000_000)
 
 
-def bar_seconds(timeframe: Column) -> Column:
-    """Nominal length of one bar, read from labels such as 5m, 1h, 1d; NULL if unreadable."""
-    amount = F.regexp_extract(timeframe, r"^(\d+)[mhd]$", 1).try_cast("bigint")
-    unit = F.regexp_extract(timeframe, r"^\d+([mhd])$", 1)
-    seconds = F.when(unit == "m", 60).when(unit == "h", 3600).when(unit == "d", 86400)
-    return F.nullif(amount * seconds, F.lit(0)).cast("bigint")
-
+def bar_seconds_sql(timeframe: str = TIMEFRAME) -> str:
+    """Nominal length of one bar, read from labels such as 5m, 1h, 1d; NULL if unreadable.
 
-def time_slot(ts: Column, timeframe: Column, bars_per_slot: int = BARS_PER_SLOT) -> Column:
+    The usual labels are compared as text; the patterns run only for others.
+    """
+    usual = " ".join(
+        f"WHEN '{label}' THEN {int(label[:-1]) * UNIT_SECONDS[label[-1]]}" for label in [DAILY, *INTRADAY]
+    )
+    unit = " ".join(f"WHEN '{unit}' THEN {seconds}" for unit, seconds in UNIT_SECONDS.items())
+    other = (
+        f"nullif(try_cast(regexp_extract({timeframe}, '^([0-9]+)[mhd]$', 1) AS BIGINT) "
+        f"* CASE regexp_extract({timeframe}, '^[0-9]+([mhd])$', 1) {unit} END, 0)"
+    )
+    return f"CAST(CASE {timeframe} {usual} ELSE {other} END AS BIGINT)"
+
+
+def time_slot(bars_per_slot: int = BARS_PER_SLOT) -> Column:
     """Consecutive time ranges of one series, ``bars_per_slot`` nominal bars wide.
 
     A slot is never longer than 64 days, and one day where the label names no bar size. Rows
     without a time share one slot that sorts after all others.
     """
-    nominal = F.coalesce(bar_seconds(timeframe) * F.lit(bars_per_slot), F.lit(86400))
-    width = F.least(nominal, F.lit(LONGEST_SLOT_SECONDS)) * F.lit(1_000_000)
-    return F.coalesce(F.floor(micros(ts) / width), F.lit(NO_TIME_SLOT)).cast("bigint")
+    seconds = f"least(coalesce({bar_seconds_sql()} * {bars_per_slot}, 86400), {LONGEST_SLOT_SECONDS})"
+    slot = f"floor(unix_micros(CAST({TS} AS TIMESTAMP)) / ({seconds} * 1000000))"
+    return F.expr(f"coalesce({slot}, {NO_TIME_SLOT})")
 
 
 def run_stamp(as_of: Column) -> Column:

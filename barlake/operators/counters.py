@@ -18,14 +18,15 @@ NO_VOLUME = "volume <= 0"
 
 def row_counters(bars: DataFrame) -> DataFrame:
     """(series, records, n_missing_*, n_high_low, n_close_out, n_open_out, n_no_volume)."""
-    return bars.groupBy(*SERIES).agg(
-        F.count("*").alias("records"),
-        *[F.count_if(F.col(c).isNull()).alias(f"n_missing_{c}") for c in VALUES],
-        F.count_if(F.expr(HIGH_BELOW_LOW)).alias("n_high_low"),
-        F.count_if(F.expr(CLOSE_OUTSIDE)).alias("n_close_out"),
-        F.count_if(F.expr(OPEN_OUTSIDE)).alias("n_open_out"),
-        F.count_if(F.expr(NO_VOLUME)).alias("n_no_volume"),
-    )
+    counts = {
+        "records": "TRUE",
+        **{f"n_missing_{c}": f"{c} IS NULL" for c in VALUES},
+        "n_high_low": HIGH_BELOW_LOW,
+        "n_close_out": CLOSE_OUTSIDE,
+        "n_open_out": OPEN_OUTSIDE,
+        "n_no_volume": NO_VOLUME,
+    }
+    return bars.groupBy(*SERIES).agg(*[F.expr(f"count_if({test}) AS {name}") for name, test in counts.items()])
 
 
 def series_summary(bars: DataFrame) -> DataFrame:

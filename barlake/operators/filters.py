@@ -24,6 +24,15 @@ def holds_ticker(cells: Column, ticker: Column, mode: str = "literal") -> Column
     return F.coalesce(F.exists(cells, lambda c: F.coalesce(test(c), F.lit(False))), F.lit(False))
 
 
+def line_holds_ticker(line: Column, cells: Column, ticker: Column, mode: str = "literal") -> Column:
+    """FLT-1 on a CSV line: a literal ticker without separators is in a cell exactly if it is in the line."""
+    in_cells = holds_ticker(cells, ticker, mode)
+    if mode != "literal":
+        return in_cells
+    separated = ticker.contains(",") | ticker.contains('"')
+    return F.when(separated, in_cells).otherwise(line.contains(ticker))
+
+
 def without_banners(rows: DataFrame, columns: list[str], mode: str = "literal") -> DataFrame:
     """FLT-1: drop rows in which any of the text ``columns`` holds the row's ticker."""
     cells = F.array(*[F.col(c).cast("string") for c in columns])

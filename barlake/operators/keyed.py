@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlake.operators.lookup import attach, fits_broadcast
@@ -25,12 +25,13 @@ def one_per_key(bars: DataFrame, keep: str = "first") -> DataFrame:
     """
     if keep not in {"first", "last"}:
         raise ValueError(f"keep must be first or last, not {keep!r}")
-    pick, bound = (F.min_by, F.min) if keep == "first" else (F.max_by, F.max)
-    return (
-        bars.groupBy(*KEY)
-        .agg(*[pick(c, SEQ).alias(c) for c in VALUES], bound(SEQ).alias(SEQ))
-        .select(*BAR_COLUMNS)
-    )
+    return bars.groupBy(*KEY).agg(*_picked(keep)).select(*BAR_COLUMNS)
+
+
+def _picked(keep: str) -> list[Column]:
+    """Values of the row with the lowest or highest seq of a group."""
+    end = "min" if keep == "first" else "max"
+    return [*[F.expr(f"{end}_by({c}, {SEQ}) AS {c}") for c in VALUES], F.expr(f"{end}({SEQ}) AS {SEQ}")]
 
 
 def batch_fits(batch: DataFrame) -> bool:
@@ -48,12 +49,12 @@ def known_keys(batch: DataFrame, master: DataFrame, batch_small: bool | None = N
     if batch_small is None:
         batch_small = batch_fits(batch)
     if batch_small:
-        wanted = F.broadcast(batch.select(*KEY).distinct())
+        wanted = F.broadcast(batch.select(*KEY))
         return master.select(*KEY).join(wanted, KEY, "left_semi").distinct()
     sides = batch.select(*KEY, F.lit(False).alias("_known")).unionByName(
         master.select(*KEY, F.lit(True).alias("_known"))
     )
-    flags = sides.groupBy(*KEY).agg(F.bool_or("_known").alias("_in_master"), F.bool_and("_known").alias("_only_master"))
+    flags = sides.groupBy(*KEY).agg(F.expr("bool_or(_known) AS _in_master"), F.expr("bool_and(_known) AS _only_master"))
     return flags.where("_in_master AND NOT _only_master").select(*KEY)
 
 
@@ -70,13 +71,12 @@ def new_keyed_rows(
     if batch_small:
         known = F.broadcast(known_keys(batch, master, True))
         return one_per_key(batch, keep).join(known, KEY, "left_anti")
-    pick, bound = (F.min_by, F.min) if keep == "first" else (F.max_by, F.max)
     both = batch.select(*BAR_COLUMNS, F.lit(False).alias("_known")).unionByName(
         master.select(*KEY, F.lit(True).alias("_known")), allowMissingColumns=True
     )
     return (
         both.groupBy(*KEY)
-        .agg(*[pick(c, SEQ).alias(c) for c in VALUES], bound(SEQ).alias(SEQ), F.bool_or("_known").alias("_known"))
+        .agg(*_picked(keep), F.expr("bool_or(_known) AS _known"))
         .where("NOT _known")
         .select(*BAR_COLUMNS)
     )

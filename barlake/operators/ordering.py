@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlake.functions import timing
@@ -39,12 +39,12 @@ class Blocked:
 
 
 def _seq_range(rows_per_block: int) -> Column:
-    return F.floor(F.col(SEQ) / F.lit(rows_per_block)).cast("bigint")
+    return F.expr(f"floor({SEQ} / {rows_per_block})")
 
 
 def has_series(bars: DataFrame) -> DataFrame:
     """Keys are never NULL by contract; saying so up front lets all branches of a plan share one exchange."""
-    return bars.where(F.col(TICKER).isNotNull() & F.col(TIMEFRAME).isNotNull())
+    return bars.where(f"{TICKER} IS NOT NULL AND {TIMEFRAME} IS NOT NULL")
 
 
 def _cut_crowded_slots(rows: DataFrame, rows_per_block: int) -> tuple[DataFrame, list[str]]:
@@ -82,7 +82,7 @@ def in_blocks(
         rows = bars.select(*SERIES, SEQ, value, _seq_range(rows_per_block).alias("_slot"))
         fine, order_columns = [], [SEQ]
     elif order == "ts":
-        slot = timing.time_slot(F.col(TS), F.col(TIMEFRAME), bars_per_slot or timing.BARS_PER_SLOT)
+        slot = timing.time_slot(bars_per_slot or timing.BARS_PER_SLOT)
         rows = bars.select(*SERIES, TS, SEQ, value, slot.alias("_slot"))
         rows, fine = _cut_crowded_slots(rows, rows_per_block)
         order_columns = [TS, SEQ]
@@ -95,30 +95,28 @@ def in_blocks(
 
 def last_before_block(blocked: Blocked, value: str) -> DataFrame:
     """Per block: the last non-missing ``value`` of all earlier blocks of the series (``_carry``)."""
-    position = F.col(SEQ) if blocked.order == [SEQ] else F.struct(*blocked.order)
+    position = SEQ if blocked.order == [SEQ] else f"struct({', '.join(blocked.order)})"
     summary = blocked.rows.groupBy(*blocked.block).agg(
-        F.max_by(value, F.when(F.col(value).isNotNull(), position)).alias("_last")
+        F.expr(f"max_by({value}, CASE WHEN {value} IS NOT NULL THEN {position} END) AS _last")
     )
+    across = _last_of_earlier("_last", SERIES, blocked.coarse)
     if not blocked.fine:
-        earlier = Window.partitionBy(*SERIES).orderBy(*blocked.coarse).rowsBetween(Window.unboundedPreceding, -1)
-        return summary.select(*blocked.block, F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
+        return summary.selectExpr(*blocked.block, f"{across} AS _carry")
 
     # Two levels: inside a slot over its fine blocks, then across the slots of the series.
-    in_slot = (
-        Window.partitionBy(*SERIES, *blocked.coarse)
-        .orderBy(*blocked.fine)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    fine = summary.select(*blocked.block, F.last("_last", ignorenulls=True).over(in_slot).alias("_near"))
-    fine_position = F.struct(*blocked.fine)
-    slots = summary.groupBy(*SERIES, *blocked.coarse).agg(
-        F.max_by("_last", F.when(F.col("_last").isNotNull(), fine_position)).alias("_last")
-    )
-    across = Window.partitionBy(*SERIES).orderBy(*blocked.coarse).rowsBetween(Window.unboundedPreceding, -1)
-    coarse = slots.select(
-        *SERIES, *blocked.coarse, F.last("_last", ignorenulls=True).over(across).alias("_far")
+    slot = [*SERIES, *blocked.coarse]
+    near = summary.selectExpr(*blocked.block, f"{_last_of_earlier('_last', slot, blocked.fine)} AS _near")
+    fine_position = f"struct({', '.join(blocked.fine)})"
+    slots = summary.groupBy(*slot).agg(
+        F.expr(f"max_by(_last, CASE WHEN _last IS NOT NULL THEN {fine_position} END) AS _last")
     )
+    far = slots.selectExpr(*slot, f"{across} AS _far")
+    return near.join(far, slot, "left").selectExpr(*blocked.block, "coalesce(_near, _far) AS _carry")
+
+
+def _last_of_earlier(value: str, within: list[str], order: list[str]) -> str:
+    """Last non-missing ``value`` of the rows strictly before the current one."""
     return (
-        fine.join(coarse, [*SERIES, *blocked.coarse], "left")
-        .select(*blocked.block, F.coalesce("_near", "_far").alias("_carry"))
+        f"last({value}, true) OVER (PARTITION BY {', '.join(within)} ORDER BY {', '.join(order)} "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.operators.lookup import attach, series_fit
@@ -10,13 +10,11 @@ from barlake.operators.ordering import Blocked, in_blocks, last_before_block
 from barlake.schema import OUTLIER_Z, SERIES, SEQ
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str], nullable: set[str]) -> DataFrame:
-    right = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], "_carry")
-    condition = None
-    for c in on:
-        same = F.col(c).eqNullSafe(F.col(f"_r_{c}")) if c in nullable else F.col(c) == F.col(f"_r_{c}")
-        condition = same if condition is None else condition & same
-    return left.join(right, condition, "left").drop(*[f"_r_{c}" for c in on])
+def _with_carry(rows: DataFrame, carry: DataFrame, blocked: Blocked) -> DataFrame:
+    """Join the carried value by block; the fine block columns may be NULL."""
+    renamed = carry.selectExpr(*[f"{c} AS _r_{c}" for c in blocked.block], "_carry")
+    same = [f"{c} <=> _r_{c}" if c in blocked.fine else f"{c} = _r_{c}" for c in blocked.block]
+    return rows.join(renamed, F.expr(" AND ".join(same)), "left")
 
 
 def simple_returns(
@@ -35,39 +33,33 @@ def simple_returns(
     blocked = in_blocks(bars, value, order, rows_per_block, bars_per_slot)
     if not fill:
         # A missing close must stop the previous value from being seen, so it travels as NaN.
-        marked = blocked.rows.withColumn(value, F.coalesce(F.col(value), F.lit(float("nan"))))
+        marked = blocked.rows.withColumn(value, F.expr(f"coalesce({value}, double('NaN'))"))
         blocked = Blocked(marked, blocked.coarse, blocked.fine, blocked.order)
-    window = Window.partitionBy(*blocked.block).orderBy(*blocked.order)
-    inside = blocked.rows.select(
+    window = f"PARTITION BY {', '.join(blocked.block)} ORDER BY {', '.join(blocked.order)} ROWS BETWEEN UNBOUNDED PRECEDING"
+    inside = blocked.rows.selectExpr(
         *blocked.block,
         SEQ,
-        F.last(value, ignorenulls=True)
-        .over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        .alias("_now"),
-        F.last(value, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        f"last({value}, true) OVER ({window} AND CURRENT ROW) AS _now",
+        f"last({value}, true) OVER ({window} AND 1 PRECEDING) AS _before",
     )
-    carry = last_before_block(blocked, value)
-    joined = _null_safe_join(inside, carry, blocked.block, set(blocked.fine))
-    now = F.coalesce(F.col("_now"), F.col("_carry"))
-    before = F.coalesce(F.col("_before"), F.col("_carry"))
-    ret = F.try_divide(now - before, before)
-    return joined.select(*SERIES, SEQ, F.nullif(ret, F.lit(float("nan"))).alias("ret")).where("ret IS NOT NULL")
+    filled = _with_carry(inside, last_before_block(blocked, value), blocked).selectExpr(
+        *SERIES, SEQ, "coalesce(_now, _carry) AS _now", "coalesce(_before, _carry) AS _before"
+    )
+    ret = "nullif(try_divide(_now - _before, _before), double('NaN')) AS ret"
+    return filled.selectExpr(*SERIES, SEQ, ret).where("ret IS NOT NULL")
 
 
 def return_stats(returns: DataFrame) -> DataFrame:
     """AGG-7: number, mean and sample standard deviation of the returns of each series."""
     return returns.groupBy(*SERIES).agg(
-        F.count("ret").alias("n_returns"),
-        F.avg("ret").alias("mean_ret"),
-        F.stddev_samp("ret").alias("std_ret"),
+        F.expr("count(ret) AS n_returns"), F.expr("avg(ret) AS mean_ret"), F.expr("stddev_samp(ret) AS std_ret")
     )
 
 
 def z_scores(returns: DataFrame, series_small: bool) -> DataFrame:
     """WIN-3, JOIN-4: absolute z-score of every return within its series."""
     scored = attach(returns, return_stats(returns), SERIES, small_fits=series_small)
-    z = F.abs(F.try_divide(F.col("ret") - F.col("mean_ret"), F.col("std_ret")))
-    return scored.select(*SERIES, SEQ, "ret", z.alias("z"))
+    return scored.selectExpr(*SERIES, SEQ, "ret", "abs(try_divide(ret - mean_ret, std_ret)) AS z")
 
 
 def outlier_counts(
@@ -81,4 +73,4 @@ def outlier_counts(
     if series_small is None:
         series_small = series_fit(bars)
     scored = z_scores(simple_returns(bars, order=order, fill=fill), series_small)
-    return scored.groupBy(*SERIES).agg(F.count_if(F.col("z") > limit).alias("n_outliers"))
+    return scored.groupBy(*SERIES).agg(F.expr(f"count_if(z > {limit}D) AS n_outliers"))

@@ -7,7 +7,7 @@ by length, and median and gaps are read off that histogram.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.functions import timing
@@ -15,28 +15,34 @@ from barlake.operators.ordering import has_series
 from barlake.schema import DAILY, DAILY_GAP_DAYS, GAP_FACTOR, SERIES, TIMEFRAME, TS
 
 
+_KEYS = ", ".join(SERIES)
+_MICROS = "unix_micros(CAST({} AS TIMESTAMP))"
+
+
+def _step_sql(ts: str, before: str, window: str) -> str:
+    return f"{_MICROS.format(ts)} - {_MICROS.format(f'lag({before}) OVER ({window})')} AS step_us"
+
+
 def distinct_times(bars: DataFrame, bars_per_slot: int | None = None) -> DataFrame:
     """(series, _slot, ts, n_rows): one row per distinct time, a missing time counting as one."""
-    slot = timing.time_slot(F.col(TS), F.col(TIMEFRAME), bars_per_slot or timing.BARS_PER_SLOT)
+    slot = timing.time_slot(bars_per_slot or timing.BARS_PER_SLOT)
     times = has_series(bars).select(*SERIES, TS, slot.alias("_slot"))
-    return times.groupBy(*SERIES, "_slot", TS).agg(F.count("*").alias("n_rows"))
+    return times.groupBy(*SERIES, "_slot", TS).agg(F.expr("count(*) AS n_rows"))
 
 
 def _steps_in_slots(times: DataFrame) -> DataFrame:
     """Times with the step from the previous one in the same slot (NULL for the first)."""
-    by_time = Window.partitionBy(*SERIES, "_slot").orderBy(TS)
-    return times.withColumn("step_us", timing.micros(F.col(TS)) - timing.micros(F.lag(TS).over(by_time)))
+    return times.selectExpr("*", _step_sql(TS, TS, f"PARTITION BY {_KEYS}, _slot ORDER BY {TS}"))
 
 
 def _steps_between_slots(times: DataFrame) -> DataFrame:
     """First time of every slot with the step from the last time of the slot before."""
     # The always true filter keeps the count column, so this branch shares the exchange of the other.
     edges = times.where("n_rows > 0").groupBy(*SERIES, "_slot").agg(
-        F.min(TS).alias("_first"), F.max(TS).alias("_last"), F.min_by("n_rows", TS).alias("n_rows")
+        F.expr(f"min({TS}) AS _first"), F.expr(f"max({TS}) AS _last"), F.expr(f"min_by(n_rows, {TS}) AS n_rows")
     )
-    by_slot = Window.partitionBy(*SERIES).orderBy("_slot")
-    step = timing.micros(F.col("_first")) - timing.micros(F.lag("_last").over(by_slot))
-    return edges.select(*SERIES, F.col("_first").alias(TS), "n_rows", step.alias("step_us"))
+    step = _step_sql("_first", "_last", f"PARTITION BY {_KEYS} ORDER BY _slot")
+    return edges.selectExpr(*SERIES, f"_first AS {TS}", "n_rows", step)
 
 
 def time_steps(bars: DataFrame, bars_per_slot: int | None = None) -> DataFrame:
@@ -61,20 +67,14 @@ def step_histogram(bars: DataFrame, bars_per_slot: int | None = None) -> DataFra
     bars on a grid, however many rows the series has.
     """
     times = distinct_times(bars, bars_per_slot)
-    entry = lambda step, n: F.struct(step.cast("bigint").alias("step_us"), n.cast("bigint").alias("n"))
-    step = F.col("step_us")
-    repeats = F.col("n_rows") - 1
-    inside = _steps_in_slots(times).select(
-        *SERIES,
-        F.inline(
-            F.array(
-                entry(step, F.when(step.isNotNull(), 1).otherwise(0)),
-                entry(F.when(F.col(TS).isNotNull(), 0), repeats),
-            )
-        ),
+    # Each distinct time stands for one step and for its repeats.
+    own_step = "struct(step_us, CASE WHEN step_us IS NULL THEN 0L ELSE 1L END AS n)"
+    repeats = f"struct(CASE WHEN {TS} IS NOT NULL THEN 0L END AS step_us, n_rows - 1 AS n)"
+    inside = _steps_in_slots(times).selectExpr(*SERIES, f"inline(array({own_step}, {repeats}))")
+    between = _steps_between_slots(times).selectExpr(
+        *SERIES, "step_us", "CASE WHEN step_us IS NULL THEN 0L ELSE 1L END AS n"
     )
-    between = _steps_between_slots(times).select(*SERIES, "step_us", F.when(step.isNotNull(), 1).otherwise(0).cast("bigint").alias("n"))
-    return inside.unionByName(between).where("n > 0").groupBy(*SERIES, "step_us").agg(F.sum("n").alias("n"))
+    return inside.union(between).where("n > 0").groupBy(*SERIES, "step_us").agg(F.expr("sum(n) AS n"))
 
 
 def with_median(histogram: DataFrame) -> DataFrame:
@@ -82,39 +82,43 @@ def with_median(histogram: DataFrame) -> DataFrame:
 
     Their mean is the exact median. The windows run over distinct steps, never over bars.
     """
-    whole = Window.partitionBy(*SERIES)
-    running = whole.orderBy("step_us").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    weight = F.when(F.col("step_us").isNotNull(), F.col("n")).otherwise(0)
-    ranked = histogram.withColumn("_upto", F.sum(weight).over(running)).withColumn("_total", F.sum(weight).over(whole))
-    at_rank = lambda rank: F.min(F.when((F.col("_upto") >= rank) & (weight > 0), F.col("step_us"))).over(whole)
-    return ranked.select(
+    whole = f"PARTITION BY {_KEYS}"
+    running = f"{whole} ORDER BY step_us ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    weight = "CASE WHEN step_us IS NULL THEN 0L ELSE n END"
+    ranked = histogram.selectExpr(
+        "*", f"sum({weight}) OVER ({running}) AS _upto", f"sum({weight}) OVER ({whole}) AS _total"
+    )
+    at_rank = "min(CASE WHEN _upto >= {rank} THEN step_us END) OVER ({whole}) AS {name}"
+    return ranked.selectExpr(
         *SERIES,
         "step_us",
         "n",
-        at_rank(F.floor((F.col("_total") + 1) / 2)).alias("low_us"),
-        at_rank(F.floor(F.col("_total") / 2) + 1).alias("high_us"),
+        at_rank.format(rank="(_total + 1) div 2", whole=whole, name="low_us"),
+        at_rank.format(rank="_total div 2 + 1", whole=whole, name="high_us"),
     )
 
 
-def gap_limit_us() -> Column:
-    """Steps strictly above this are gaps: 3 days for daily bars, 10 medians for all others."""
-    daily = F.lit(DAILY_GAP_DAYS * 86_400_000_000)
-    # 10 * (low + high) / 2, kept in whole numbers
-    other = F.lit(GAP_FACTOR // 2) * (F.col("low_us") + F.col("high_us"))
-    return F.when(F.col(TIMEFRAME) == DAILY, daily).otherwise(other)
+def gap_limit_sql() -> str:
+    """Steps strictly above this are gaps: 3 days for daily bars, 10 medians for all others.
+
+    Ten times the mean of the two middle steps, kept in whole numbers.
+    """
+    return (
+        f"CASE WHEN {TIMEFRAME} = '{DAILY}' THEN {DAILY_GAP_DAYS * 86_400_000_000}L "
+        f"ELSE {GAP_FACTOR // 2} * (low_us + high_us) END"
+    )
 
 
 def step_counts(bars: DataFrame, bars_per_slot: int | None = None) -> DataFrame:
     """DQ-3, DQ-7, DQ-8: (series, n_duplicates, n_gaps, median_step_us), all from one histogram."""
-    repeated = F.col("step_us").isNull() | (F.col("step_us") == 0)
-    count_where = lambda test: F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0))
+    count_where = "coalesce(sum(n) FILTER (WHERE {}), 0L) AS {}"
     return with_median(step_histogram(bars, bars_per_slot)).groupBy(*SERIES).agg(
-        count_where(repeated).alias("n_duplicates"),
-        count_where(F.col("step_us") > gap_limit_us()).alias("n_gaps"),
-        F.min((F.col("low_us") + F.col("high_us")) / 2).alias("median_step_us"),
+        F.expr(count_where.format("step_us IS NULL OR step_us = 0", "n_duplicates")),
+        F.expr(count_where.format(f"step_us > {gap_limit_sql()}", "n_gaps")),
+        F.expr("min((low_us + high_us) / 2) AS median_step_us"),
     )
 
 
 def duplicate_counts(bars: DataFrame) -> DataFrame:
     """DQ-3 alone: rows minus distinct times, a missing time counting as one distinct value."""
-    return distinct_times(bars).groupBy(*SERIES).agg(F.sum(F.col("n_rows") - 1).alias("n_duplicates"))
+    return distinct_times(bars).groupBy(*SERIES).agg(F.expr("sum(n_rows - 1) AS n_duplicates"))

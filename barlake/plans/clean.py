@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.functions.parsing import to_bar_date, to_number, to_utc_wall_time
-from barlake.operators.filters import holds_ticker, rows_with_missing
+from barlake.operators.filters import line_holds_ticker, rows_with_missing
 from barlake.operators.lookup import attach
 from barlake.schema import BAR_COLUMNS, DAILY, TICKER, TIMEFRAME, TS, VALUES
 from barlake.sources.landing import cells_by_column
@@ -40,7 +40,7 @@ def clean_landing(
         "has_columns",
         F.when(~F.col("has_header"), "no_header")
         .when(F.col("before_header"), "before_header")
-        .when(holds_ticker(F.col("cells"), F.col(TICKER), banner_mode), "banner")
+        .when(line_holds_ticker(F.col("line"), F.col("cells"), F.col(TICKER), banner_mode), "banner")
         .when(F.col("key_text").isNull(), "no_key")
         .when(ts.isNull(), "bad_time")
         .alias("reason"),

@@ -48,7 +48,7 @@ def merge_exact(
     """
     batch, master = with_time(batch).select(*BAR_COLUMNS), master.select(*BAR_COLUMNS)
     if series_small is None:
-        series_small = series_fit(batch) and series_fit(master)
+        series_small = series_fit(batch.unionByName(master))
     if batch_small is None:
         batch_small = batch_fits(batch)
     fits = {"small_fits": series_small}

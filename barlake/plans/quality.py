@@ -7,10 +7,9 @@ only what must be ordered is shuffled: distinct times, and closes in blocks.
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.functions import messages
@@ -66,62 +65,37 @@ def quality_counters(
     )
     if expected is not None:
         counters = expected.select(*SERIES).distinct().join(counters, SERIES, "full")
-    numbers = ["records", *COUNTS]
-    return counters.select(
-        *SERIES,
-        *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in numbers],
-        F.col("median_step_us"),
+    return counters.selectExpr(
+        *SERIES, *[f"coalesce({c}, 0L) AS {c}" for c in ["records", *COUNTS]], "median_step_us"
     )
 
 
-def _checks() -> list[tuple[str, Column, Column, Column]]:
-    """(type, count, message, metrics) of every check, in the order they are listed."""
-    missing = {c: F.col(f"n_missing_{c}") for c in VALUES}
-    price = {c: F.col(c) for c in ("n_high_low", "n_close_out", "n_open_out")}
-    total = lambda counts: reduce(lambda a, b: a + b, counts)
-
-    def metrics(counts: dict[str, Column]) -> Column:
-        return F.create_map(*[x for name, count in counts.items() for x in (F.lit(name), count)])
-
-    def single(name: str) -> tuple[Column, Column]:
-        return F.col(name), metrics({name: F.col(name)})
-
-    duplicates, volume, outliers, gaps = map(single, ("n_duplicates", "n_no_volume", "n_outliers", "n_gaps"))
-    no_rows = F.when(F.col("records") == 0, 1).otherwise(0).cast("bigint")
+def _checks() -> list[tuple[list[str], str]]:
+    """(counter columns, message) of every check but the empty one, in the order they are listed."""
     return [
-        ("empty_data", no_rows, F.lit("DataFrame is empty"), metrics({"records": F.col("records")})),
-        (
-            "missing_values",
-            total(missing.values()),
-            messages.missing_values({c.capitalize(): n for c, n in missing.items()}),
-            metrics(missing),
-        ),
-        ("duplicate_timestamps", duplicates[0], messages.duplicate_timestamps(duplicates[0]), duplicates[1]),
-        (
-            "price_inconsistency",
-            total(price.values()),
-            messages.price_inconsistency(*price.values()),
-            metrics(price),
-        ),
-        ("volume_anomaly", volume[0], messages.volume_anomaly(volume[0]), volume[1]),
-        ("outlier_detection", outliers[0], messages.outliers(outliers[0]), outliers[1]),
-        ("time_gaps", gaps[0], messages.time_gaps(gaps[0]), gaps[1]),
+        ([f"n_missing_{c}" for c in VALUES], messages.missing_values()),
+        (["n_duplicates"], messages.duplicate_timestamps()),
+        (["n_high_low", "n_close_out", "n_open_out"], messages.price_inconsistency()),
+        (["n_no_volume"], messages.volume_anomaly()),
+        (["n_outliers"], messages.outliers()),
+        (["n_gaps"], messages.time_gaps()),
     ]
 
 
-def _issue_array() -> Column:
-    entries = [
-        F.struct(
-            F.lit(kind).alias("type"), text.alias("message"), count.alias("n"), metrics.alias("metrics")
-        )
-        for kind, count, text, metrics in _checks()
-    ]
-    return F.filter(F.array(*entries), lambda issue: issue["n"] > 0)
+def issue_array() -> str:
+    """Issues of one row of counters as an array of (type, message, n, metrics), zero counts left out."""
+    entry = "named_struct('type', '{}', 'message', {}, 'n', {}, 'metrics', map({}))"
+    no_rows = "CASE WHEN records = 0 THEN 1L ELSE 0L END"
+    entries = [entry.format(ISSUE_TYPES[0], "'DataFrame is empty'", no_rows, "'records', records")]
+    for kind, (counts, message) in zip(ISSUE_TYPES[1:], _checks()):
+        metrics = ", ".join(f"'{c}', {c}" for c in counts)
+        entries.append(entry.format(kind, message, " + ".join(counts), metrics))
+    return f"filter(array({', '.join(entries)}), i -> i.n > 0)"
 
 
 def issues_of(counters: DataFrame, file_errors: DataFrame | None = None) -> DataFrame:
     """DQ-9, DQ-12: one row per issue; unreadable files appear with their file stem and no timeframe."""
-    found = counters.select(*SERIES, F.inline(_issue_array()))
+    found = counters.selectExpr(*SERIES, f"inline({issue_array()})")
     if file_errors is None:
         return found
     broken = file_errors.select(
@@ -137,15 +111,12 @@ def issues_of(counters: DataFrame, file_errors: DataFrame | None = None) -> Data
 
 def results_of(counters: DataFrame) -> DataFrame:
     """DQ-10, DQ-11, AGG-11: one row per series, clean ones included."""
-    listed = F.transform(_issue_array(), lambda i: F.struct(i["type"].alias("type"), i["message"].alias("message")))
-    return counters.select(
-        *SERIES, "records", F.size(_issue_array()).cast("bigint").alias("issues"), listed.alias("issue_details")
-    ).select(
+    return counters.selectExpr(*SERIES, "records", f"{issue_array()} AS _found").selectExpr(
         *SERIES,
         "records",
-        "issues",
-        F.when(F.col("issues") > 0, "ISSUES").otherwise("OK").alias("status"),
-        "issue_details",
+        "CAST(size(_found) AS BIGINT) AS issues",
+        "CASE WHEN size(_found) > 0 THEN 'ISSUES' ELSE 'OK' END AS status",
+        "transform(_found, i -> named_struct('type', i.type, 'message', i.message)) AS issue_details",
     )
 
 

@@ -21,6 +21,8 @@ def build_session(app_name: str = "barlake", master: str | None = None, **conf:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.parquet.aggregatePushdown", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # Call-site capture doubles the number of gateway calls while a plan is being built.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.functions.parsing import csv_cells, decoded_file_name, file_stem, ticker_of, timeframe_of
+from barlake.functions.parsing import cell_text, csv_cells, decoded_file_name, file_stem, ticker_of, timeframe_of
 from barlake.operators.lookup import BROADCAST_ROWS, attach
 from barlake.schema import DAILY, DAILY_KEY, INTRADAY, INTRADAY_KEY, SEQ, TICKER, TIMEFRAME, VALUES
 
@@ -81,7 +81,7 @@ def cells_by_column(lines: DataFrame, columns: list[str] | None = None, files_fi
         *[position(F.lit(c)).alias(f"_at_{c}") for c in columns],
     )
     placed = attach(rows.where("NOT _is_header"), places, ["source_file"], small_fits=files_fit)
-    cell = lambda at: F.get(F.col("cells"), (F.col(at) - 1).cast("int"))
+    cell = lambda at: cell_text(F.get(F.col("cells"), (F.col(at) - 1).cast("int")))
     complete = reduce(lambda a, b: a & b, [F.col(f"_at_{c}") > 0 for c in columns])
     return placed.select(
         "source_file",

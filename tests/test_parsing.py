@@ -13,7 +13,7 @@ def one(spark, column, **values):
 
 @pytest.mark.parametrize(
     "text, number",
-    [("1.5", 1.5), (" 2 ", 2.0), ("x", None), ("", None), (None, None), ("NaN", None), ("nan", None), ("5d", None), ("1e3", 1000.0), ("-inf", float("-inf"))],
+    [("1.5", 1.5), (" 2 ", 2.0), ("x", None), ("", None), (None, None), ("NaN", None), ("nan", None), ("5d", None), ("1e3", 1000.0), ("-inf", float("-inf")), (" 5D ", None), ("5f", None)],
 )
 def test_to_number(spark, text, number):
     assert one(spark, parsing.to_number(F.col("t").cast("string")), t=text) == number
@@ -62,19 +62,23 @@ def test_keys_from_file_name(spark, encoded, ticker, timeframe):
     "line, cells",
     [
         ("a,b,c", ["a", "b", "c"]),
-        ("a,, c ", ["a", None, "c"]),
-        (",", [None, None]),
+        ("a,, c ", ["a", "", " c "]),
+        (",", ["", ""]),
         ('"1,5",x,"say ""hi"""', ["1,5", "x", 'say "hi"']),
-        ("", [None]),
+        ("", [""]),
     ],
 )
 def test_csv_cells(spark, line, cells):
     assert one(spark, parsing.csv_cells(F.col("l")), l=line) == cells
 
 
-@pytest.mark.parametrize("label, seconds", [("1m", 60), ("90m", 5400), ("1h", 3600), ("1d", 86400), ("1wk", None), ("0m", None)])
+def test_cell_text(spark):
+    assert one(spark, F.array(*[parsing.cell_text(F.lit(c)) for c in (" a ", " ", "")]), x=1) == ["a", None, None]
+
+
+@pytest.mark.parametrize("label, seconds", [("1m", 60), ("90m", 5400), ("1h", 3600), ("1d", 86400), ("4h", 14400), ("1wk", None), ("0m", None)])
 def test_bar_seconds(spark, label, seconds):
-    assert one(spark, timing.bar_seconds(F.col("t")), t=label) == seconds
+    assert one(spark, F.expr(timing.bar_seconds_sql("t")), t=label) == seconds
 
 
 def test_run_stamp(spark):

@@ -92,7 +92,7 @@ def test_result_rows_and_statistics(tables):
 def test_metrics_hold_every_count(tables):
     metrics = {r["type"]: r["metrics"] for r in tables.issues.where("ticker = 'A'").collect()}
     assert metrics["price_inconsistency"] == {"n_high_low": 1, "n_close_out": 1, "n_open_out": 1}
-    assert metrics["missing_values"]["close"] == 1
+    assert metrics["missing_values"]["n_missing_close"] == 1
 
 
 def test_no_files_no_report(bars_of_rows):
