@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from barlake.functions import timing
 from barlake.operators.lookup import BROADCAST_ROWS, attach
-from barlake.schema import SEQ, SERIES, TICKER, TIMEFRAME, TS
+from barlake.schema import KEY, SEQ, SERIES, TICKER, TIMEFRAME, TS
 
 ROWS_PER_BLOCK = 1 << 20
 
@@ -47,25 +47,43 @@ def has_series(bars: DataFrame) -> DataFrame:
     return bars.where(f"{TICKER} IS NOT NULL AND {TIMEFRAME} IS NOT NULL")
 
 
-def _cut_crowded_slots(rows: DataFrame, rows_per_block: int) -> tuple[DataFrame, list[str]]:
-    """Split slots holding more than ``rows_per_block`` rows into (time, seq range) blocks.
+def with_slot(bars: DataFrame, bars_per_slot: int | None = None) -> DataFrame:
+    return has_series(bars).withColumn("_slot", timing.time_slot(bars_per_slot or timing.BARS_PER_SLOT))
 
-    There is at most one such slot per ``rows_per_block`` rows and usually none, in which case the
-    rows are left alone. They are counted before anything is broadcast.
+
+@dataclass(frozen=True)
+class CrowdedSlots:
+    """Time slots holding more rows than a task should take, and whether their list may be broadcast."""
+
+    slots: DataFrame | None
+    fits: bool = True
+
+    def mark(self, rows: DataFrame) -> DataFrame:
+        """Rows with a ``_crowded`` flag (TRUE or NULL)."""
+        flagged = self.slots.withColumn("_crowded", F.lit(True))
+        return attach(rows, flagged, [*SERIES, "_slot"], small_fits=self.fits)
+
+    def __bool__(self) -> bool:
+        return self.slots is not None
+
+
+def find_crowded_slots(
+    bars: DataFrame, rows_per_block: int | None = None, bars_per_slot: int | None = None
+) -> CrowdedSlots:
+    """Count the rows of every slot (one narrow scan, combined before its shuffle).
+
+    There is at most one crowded slot per ``rows_per_block`` rows and usually none, in which case
+    callers leave the rows alone. The list is counted before anything is broadcast.
     """
     slot = [*SERIES, "_slot"]
-    crowded = rows.groupBy(*slot).agg(F.count("*").alias("_n")).where(F.col("_n") > rows_per_block).select(*slot)
+    counted = with_slot(bars.select(*KEY), bars_per_slot).groupBy(*slot).agg(F.expr("count(*) AS _n"))
+    crowded = counted.where(F.col("_n") > (rows_per_block or ROWS_PER_BLOCK)).select(*slot)
     found = crowded.limit(BROADCAST_ROWS + 1).collect()
     if not found:
-        return rows, []
-    fits = len(found) <= BROADCAST_ROWS
-    if fits:
-        crowded = rows.sparkSession.createDataFrame(found, crowded.schema)
-    marked = attach(rows, crowded.withColumn("_crowded", F.lit(True)), slot, small_fits=fits)
-    cut = marked.withColumn("_time", F.when(F.col("_crowded"), F.col(TS))).withColumn(
-        "_range", F.when(F.col("_crowded"), _seq_range(rows_per_block))
-    )
-    return cut.drop("_crowded"), ["_time", "_range"]
+        return CrowdedSlots(None)
+    if len(found) > BROADCAST_ROWS:
+        return CrowdedSlots(crowded, fits=False)
+    return CrowdedSlots(bars.sparkSession.createDataFrame(found, crowded.schema))
 
 
 def in_blocks(
@@ -74,17 +92,26 @@ def in_blocks(
     order: str = "seq",
     rows_per_block: int | None = None,
     bars_per_slot: int | None = None,
+    crowded: CrowdedSlots | None = None,
 ) -> Blocked:
     """Cut ``bars`` (keys, time, seq and ``value`` only) into order blocks with one shuffle."""
     rows_per_block = rows_per_block or ROWS_PER_BLOCK
-    bars = has_series(bars)
+    fine: list[str] = []
     if order == "seq":
-        rows = bars.select(*SERIES, SEQ, value, _seq_range(rows_per_block).alias("_slot"))
-        fine, order_columns = [], [SEQ]
+        rows = has_series(bars).select(*SERIES, SEQ, value, _seq_range(rows_per_block).alias("_slot"))
+        order_columns = [SEQ]
     elif order == "ts":
-        slot = timing.time_slot(bars_per_slot or timing.BARS_PER_SLOT)
-        rows = bars.select(*SERIES, TS, SEQ, value, slot.alias("_slot"))
-        rows, fine = _cut_crowded_slots(rows, rows_per_block)
+        rows = with_slot(bars.select(*KEY, SEQ, value), bars_per_slot)
+        if crowded is None:
+            crowded = find_crowded_slots(bars, rows_per_block, bars_per_slot)
+        if crowded:
+            fine = ["_time", "_range"]
+            rows = crowded.mark(rows).withColumns(
+                {
+                    "_time": F.expr(f"CASE WHEN _crowded THEN {TS} END"),
+                    "_range": F.when(F.col("_crowded"), _seq_range(rows_per_block)),
+                }
+            ).drop("_crowded")
         order_columns = [TS, SEQ]
     else:
         raise ValueError(f"unknown order {order!r}")
@@ -95,8 +122,12 @@ def in_blocks(
 
 def last_before_block(blocked: Blocked, value: str) -> DataFrame:
     """Per block: the last non-missing ``value`` of all earlier blocks of the series (``_carry``)."""
-    position = SEQ if blocked.order == [SEQ] else f"struct({', '.join(blocked.order)})"
-    summary = blocked.rows.groupBy(*blocked.block).agg(
+    rows, position = blocked.rows, SEQ
+    if blocked.order != [SEQ]:
+        # One number per row in place of (time, seq) keeps the aggregate below on fixed-width buffers.
+        number = f"row_number() OVER (PARTITION BY {', '.join(blocked.block)} ORDER BY {', '.join(blocked.order)})"
+        rows, position = rows.selectExpr(*blocked.block, value, f"{number} AS _position"), "_position"
+    summary = rows.groupBy(*blocked.block).agg(
         F.expr(f"max_by({value}, CASE WHEN {value} IS NOT NULL THEN {position} END) AS _last")
     )
     across = _last_of_earlier("_last", SERIES, blocked.coarse)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.operators.lookup import attach, series_fit
-from barlake.operators.ordering import Blocked, in_blocks, last_before_block
+from barlake.operators.ordering import Blocked, CrowdedSlots, in_blocks, last_before_block
 from barlake.schema import OUTLIER_Z, SERIES, SEQ
 
 
@@ -24,13 +24,14 @@ def simple_returns(
     fill: bool = True,
     rows_per_block: int | None = None,
     bars_per_slot: int | None = None,
+    crowded: CrowdedSlots | None = None,
 ) -> DataFrame:
     """WIN-1: (series, seq, ret), one row per bar that has a return.
 
     With ``fill`` a missing close repeats the last known one (its return is 0); without it such
     rows, and the row after each, have no return. A zero previous close gives no return.
     """
-    blocked = in_blocks(bars, value, order, rows_per_block, bars_per_slot)
+    blocked = in_blocks(bars, value, order, rows_per_block, bars_per_slot, crowded)
     if not fill:
         # A missing close must stop the previous value from being seen, so it travels as NaN.
         marked = blocked.rows.withColumn(value, F.expr(f"coalesce({value}, double('NaN'))"))
@@ -39,11 +40,11 @@ def simple_returns(
     inside = blocked.rows.selectExpr(
         *blocked.block,
         SEQ,
-        f"last({value}, true) OVER ({window} AND CURRENT ROW) AS _now",
-        f"last({value}, true) OVER ({window} AND 1 PRECEDING) AS _before",
+        value,
+        f"last({value}, true) OVER ({window} AND 1 PRECEDING) AS _near",
     )
     filled = _with_carry(inside, last_before_block(blocked, value), blocked).selectExpr(
-        *SERIES, SEQ, "coalesce(_now, _carry) AS _now", "coalesce(_before, _carry) AS _before"
+        *SERIES, SEQ, f"coalesce({value}, _near, _carry) AS _now", "coalesce(_near, _carry) AS _before"
     )
     ret = "nullif(try_divide(_now - _before, _before), double('NaN')) AS ret"
     return filled.selectExpr(*SERIES, SEQ, ret).where("ret IS NOT NULL")
@@ -68,9 +69,10 @@ def outlier_counts(
     fill: bool = True,
     limit: float = OUTLIER_Z,
     series_small: bool | None = None,
+    crowded: CrowdedSlots | None = None,
 ) -> DataFrame:
     """DQ-6: (series, n_outliers) for every series with at least one return."""
     if series_small is None:
         series_small = series_fit(bars)
-    scored = z_scores(simple_returns(bars, order=order, fill=fill), series_small)
+    scored = z_scores(simple_returns(bars, order=order, fill=fill, crowded=crowded), series_small)
     return scored.groupBy(*SERIES).agg(F.expr(f"count_if(z > {limit}D) AS n_outliers"))

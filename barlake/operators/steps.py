@@ -1,18 +1,20 @@
 """WIN-2, AGG-5, AGG-8, DQ-3, DQ-7, DQ-8: distinct times, time steps, exact median, gaps.
 
-Rows are first collapsed to distinct times with a count (combined before the shuffle), so a time
-that is repeated millions of times costs one row. A repeat is a step of zero. Steps are then counted
-by length, and median and gaps are read off that histogram.
+Steps are taken inside time slots, and between slots from the first and last time of each, so no
+task sorts a whole series. In crowded slots the rows are first collapsed to distinct times with a
+count (combined before the shuffle), so a time repeated millions of times costs one row; a repeat
+is a step of zero. Steps are then counted by length, and median and gaps are read off that histogram.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.functions import timing
-from barlake.operators.ordering import has_series
-from barlake.schema import DAILY, DAILY_GAP_DAYS, GAP_FACTOR, SERIES, TIMEFRAME, TS
+from barlake.operators.ordering import CrowdedSlots, find_crowded_slots, has_series, with_slot
+from barlake.schema import DAILY, DAILY_GAP_DAYS, GAP_FACTOR, KEY, SERIES, TIMEFRAME, TS
 
 
 _KEYS = ", ".join(SERIES)
@@ -24,25 +26,19 @@ def _step_sql(ts: str, before: str, window: str) -> str:
 
 
 def distinct_times(bars: DataFrame, bars_per_slot: int | None = None) -> DataFrame:
-    """(series, _slot, ts, n_rows): one row per distinct time, a missing time counting as one."""
-    slot = timing.time_slot(bars_per_slot or timing.BARS_PER_SLOT)
-    times = has_series(bars).select(*SERIES, TS, slot.alias("_slot"))
-    return times.groupBy(*SERIES, "_slot", TS).agg(F.expr("count(*) AS n_rows"))
+    """(series, ts, n_rows, _slot): one row per distinct time, a missing time counting as one."""
+    times = has_series(bars).groupBy(*KEY).agg(F.expr("count(*) AS n_rows"))
+    return with_slot(times, bars_per_slot)
 
 
 def _steps_in_slots(times: DataFrame) -> DataFrame:
-    """Times with the step from the previous one in the same slot (NULL for the first)."""
+    """Times with the step from the one before in the same slot (NULL for the first)."""
     return times.selectExpr("*", _step_sql(TS, TS, f"PARTITION BY {_KEYS}, _slot ORDER BY {TS}"))
 
 
-def _steps_between_slots(times: DataFrame) -> DataFrame:
-    """First time of every slot with the step from the last time of the slot before."""
-    # The always true filter keeps the count column, so this branch shares the exchange of the other.
-    edges = times.where("n_rows > 0").groupBy(*SERIES, "_slot").agg(
-        F.expr(f"min({TS}) AS _first"), F.expr(f"max({TS}) AS _last"), F.expr(f"min_by(n_rows, {TS}) AS n_rows")
-    )
-    step = _step_sql("_first", "_last", f"PARTITION BY {_KEYS} ORDER BY _slot")
-    return edges.selectExpr(*SERIES, f"_first AS {TS}", "n_rows", step)
+def _steps_between_slots(slots: DataFrame) -> DataFrame:
+    """Slots with the step from the last time of the slot before to their first (``_first``, ``_last``)."""
+    return slots.selectExpr("*", _step_sql("_first", "_last", f"PARTITION BY {_KEYS} ORDER BY _slot"))
 
 
 def time_steps(bars: DataFrame, bars_per_slot: int | None = None) -> DataFrame:
@@ -51,12 +47,18 @@ def time_steps(bars: DataFrame, bars_per_slot: int | None = None) -> DataFrame:
     ``step_us`` is the step from the previous distinct time (NULL for the first of the series); the
     other ``n_rows - 1`` rows of the same time have a step of zero.
     """
-    times = distinct_times(bars, bars_per_slot)
-    inside = _steps_in_slots(times).where("step_us IS NOT NULL").select(*SERIES, TS, "n_rows", "step_us")
-    return inside.unionByName(_steps_between_slots(times).where("ts IS NOT NULL"))
+    times = distinct_times(bars, bars_per_slot).where(f"{TS} IS NOT NULL")
+    columns = [*KEY, "n_rows", "step_us"]
+    slots = times.groupBy(*SERIES, "_slot").agg(
+        F.expr(f"min({TS}) AS _first"), F.expr(f"max({TS}) AS _last"), F.expr(f"min_by(n_rows, {TS}) AS n_rows")
+    )
+    firsts = _steps_between_slots(slots).withColumnRenamed("_first", TS).select(*columns)
+    return _steps_in_slots(times).where("step_us IS NOT NULL").select(*columns).unionByName(firsts)
 
 
-def step_histogram(bars: DataFrame, bars_per_slot: int | None = None) -> DataFrame:
+def step_histogram(
+    bars: DataFrame, bars_per_slot: int | None = None, crowded: CrowdedSlots | None = None
+) -> DataFrame:
     """(series, step_us, n): how often each step occurs, repeats included as step 0.
 
     Rows without a time that repeat another such row appear under a NULL step, so the counts of
@@ -66,15 +68,26 @@ def step_histogram(bars: DataFrame, bars_per_slot: int | None = None) -> DataFra
     sqrt(2 * span in microseconds) of them: 8 million for a year of irregular times, a handful for
     bars on a grid, however many rows the series has.
     """
-    times = distinct_times(bars, bars_per_slot)
-    # Each distinct time stands for one step and for its repeats.
-    own_step = "struct(step_us, CASE WHEN step_us IS NULL THEN 0L ELSE 1L END AS n)"
-    repeats = f"struct(CASE WHEN {TS} IS NOT NULL THEN 0L END AS step_us, n_rows - 1 AS n)"
-    inside = _steps_in_slots(times).selectExpr(*SERIES, f"inline(array({own_step}, {repeats}))")
-    between = _steps_between_slots(times).selectExpr(
-        *SERIES, "step_us", "CASE WHEN step_us IS NULL THEN 0L ELSE 1L END AS n"
+    if crowded is None:
+        crowded = find_crowded_slots(bars, bars_per_slot=bars_per_slot)
+    rows = with_slot(bars.select(*KEY), bars_per_slot)
+    timed = rows.where(f"{TS} IS NOT NULL")
+    columns = [*SERIES, "step_us", "n"]
+    parts = []
+    if crowded:
+        marked = crowded.mark(timed)
+        repeated = marked.where("_crowded").groupBy(*KEY, "_slot").agg(F.expr("count(*) AS n_rows"))
+        parts.append(repeated.selectExpr(*SERIES, "0L AS step_us", "n_rows - 1 AS n"))
+        timed = marked.where("_crowded IS NULL").select(*KEY, "_slot").union(repeated.select(*KEY, "_slot"))
+    parts.append(_steps_in_slots(timed).selectExpr(*SERIES, "step_us", "1L AS n").where("step_us IS NOT NULL"))
+    # One small row per slot straight from the scan.
+    slots = rows.groupBy(*SERIES, "_slot").agg(
+        F.expr(f"min({TS}) AS _first"), F.expr(f"max({TS}) AS _last"), F.expr(f"count_if({TS} IS NULL) - 1 AS _untimed")
     )
-    return inside.union(between).where("n > 0").groupBy(*SERIES, "step_us").agg(F.expr("sum(n) AS n"))
+    between = _steps_between_slots(slots)
+    parts.append(between.selectExpr(*SERIES, "step_us", "CASE WHEN step_us IS NULL THEN _untimed ELSE 1L END AS n"))
+    steps = reduce(DataFrame.union, [p.select(*columns) for p in parts])
+    return steps.where("n > 0").groupBy(*SERIES, "step_us").agg(F.expr("sum(n) AS n"))
 
 
 def with_median(histogram: DataFrame) -> DataFrame:
@@ -109,10 +122,12 @@ def gap_limit_sql() -> str:
     )
 
 
-def step_counts(bars: DataFrame, bars_per_slot: int | None = None) -> DataFrame:
+def step_counts(
+    bars: DataFrame, bars_per_slot: int | None = None, crowded: CrowdedSlots | None = None
+) -> DataFrame:
     """DQ-3, DQ-7, DQ-8: (series, n_duplicates, n_gaps, median_step_us), all from one histogram."""
     count_where = "coalesce(sum(n) FILTER (WHERE {}), 0L) AS {}"
-    return with_median(step_histogram(bars, bars_per_slot)).groupBy(*SERIES).agg(
+    return with_median(step_histogram(bars, bars_per_slot, crowded)).groupBy(*SERIES).agg(
         F.expr(count_where.format("step_us IS NULL OR step_us = 0", "n_duplicates")),
         F.expr(count_where.format(f"step_us > {gap_limit_sql()}", "n_gaps")),
         F.expr("min((low_us + high_us) / 2) AS median_step_us"),

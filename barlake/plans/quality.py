@@ -16,6 +16,7 @@ from barlake.functions import messages
 from barlake.functions.parsing import file_stem
 from barlake.operators.counters import row_counters
 from barlake.operators.lookup import series_fit
+from barlake.operators.ordering import find_crowded_slots
 from barlake.operators.returns import outlier_counts
 from barlake.operators.steps import step_counts
 from barlake.schema import SERIES, TICKER, TIMEFRAME, TS, VALUES
@@ -58,10 +59,12 @@ def quality_counters(
     """One row of counters per series. ``expected`` adds series that are stored but hold no row (DQ-1)."""
     if series_small is None:
         series_small = series_fit(bars)
+    crowded = find_crowded_slots(bars)
+    outliers = outlier_counts(bars, order=order, fill=fill, series_small=series_small, crowded=crowded)
     counters = (
         row_counters(bars)
-        .join(step_counts(bars), SERIES, "left")
-        .join(outlier_counts(bars, order=order, fill=fill, series_small=series_small), SERIES, "left")
+        .join(step_counts(bars, crowded=crowded), SERIES, "left")
+        .join(outliers, SERIES, "left")
     )
     if expected is not None:
         counters = expected.select(*SERIES).distinct().join(counters, SERIES, "full")

@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 
 from barlake.operators import steps
+from barlake.operators.ordering import find_crowded_slots
 from tests.conftest import bar
 
 
@@ -31,13 +32,15 @@ def random_bars(seed, n=300):
     return rows
 
 
+@pytest.mark.parametrize("rows_per_block", [2, 1 << 20])
 @pytest.mark.parametrize("bars_per_slot", [1, 10, 4096])
-@pytest.mark.parametrize("seed", [1, 2])
-def test_counts_match_a_direct_computation(bars_of_rows, seed, bars_per_slot):
-    rows = random_bars(seed)
+def test_counts_match_a_direct_computation(bars_of_rows, bars_per_slot, rows_per_block):
+    rows = random_bars(bars_per_slot)
+    crowded = find_crowded_slots(bars_of_rows(rows), rows_per_block, bars_per_slot)
+    assert bool(crowded) == (rows_per_block == 2)
     got = {
         (r["ticker"], r["timeframe"]): (r["n_duplicates"], r["n_gaps"], r["median_step_us"])
-        for r in steps.step_counts(bars_of_rows(rows), bars_per_slot).collect()
+        for r in steps.step_counts(bars_of_rows(rows), bars_per_slot, crowded).collect()
     }
     assert got == expected(rows)
 
