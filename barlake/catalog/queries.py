@@ -290,13 +290,13 @@ def banner_filter(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def landing_clean(spark: SparkSession, sf: str) -> DataFrame:
     """PIP-1 over landing lines derived from every event: two header layouts, banners, bad cells."""
-    return clean.bars_of(clean.clean_landing(_landing_lines(spark, sf), files_fit=True)).drop("seq")
+    return clean.bars_of(clean.clean_landing(_landing_lines(spark, sf))).drop("seq")
 
 
 @query
 def landing_rejects(spark: SparkSession, sf: str) -> DataFrame:
     """PIP-1: what could not be used, by file and reason."""
-    cleaned = clean.clean_landing(_landing_lines(spark, sf), files_fit=True)
+    cleaned = clean.clean_landing(_landing_lines(spark, sf))
     return clean.rejects_of(cleaned).groupBy("source_file", "reason").agg(F.count("*").alias("n"))
 
 

@@ -42,11 +42,6 @@ def drop_zone(instant: Column) -> Column:
     return instant.cast("timestamp_ntz")
 
 
-def no_nan(value: Column) -> Column:
-    """SCL-13: NaN counts as missing, so it becomes NULL once, at the scan."""
-    return F.nullif(value, F.lit(float("nan")))
-
-
 def decoded_file_name(encoded: Column) -> Column:
     """File name as written on disk: undo the URL encoding of file metadata but keep ``+``."""
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))

@@ -15,6 +15,7 @@ from barlake.plans.publish import Target, publish_combined, publish_split
 from barlake.schema import TICKER
 from barlake.sinks.store import merge_into_master, read_raw, write_quality, write_raw
 from barlake.sources.lake import read_bars, read_bars_or_empty
+from barlake.sources.landing import files_may_be_broadcast
 from barlake.sources.universe import fetch_plan
 
 log = logging.getLogger(__name__)
@@ -77,8 +78,9 @@ def refresh_plan(
 
 
 def collect_landing(lines: DataFrame, lake: Lake, batch_id: str, strict: bool = False) -> None:
-    """Clean landing lines into the raw store and merge them into the master."""
-    write_raw(clean_landing(lines, strict=strict), lake.raw)
+    """Clean the lines of a landing scan into the raw store and merge them into the master."""
+    files_fit = files_may_be_broadcast(lines)
+    write_raw(clean_landing(lines, strict=strict, files_fit=files_fit), lake.raw)
     merge_into_master(bars_of(read_raw(lines.sparkSession, lake.raw)), lake.master, lake.delta, batch_id)
 
 

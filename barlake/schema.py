@@ -20,6 +20,8 @@ BARS = T.StructType(
     ]
 )
 BAR_COLUMNS = BARS.fieldNames()
+# Folder of a stored bar inside its bar size.
+YEAR = "bar_year"
 
 # Bar sizes, look-back per bar size, freshness limits, check thresholds.
 DAILY = "1d"

@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
-
-CHECKPOINT_KEY = "spark.checkpoint.dir"
+from pyspark.sql import SparkSession
 
 
 def build_session(app_name: str = "barlake", master: str | None = None, **conf: str) -> SparkSession:
@@ -35,26 +31,3 @@ def use_utc(spark: SparkSession) -> SparkSession:
     """Pin the session zone to UTC: bar times are zone-free UTC wall times."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder of the session.
-
-    A cluster names a shared folder in ``spark.checkpoint.dir``; a temporary local one is set only
-    where that is missing, which is the case in tests.
-    """
-    shared = spark.conf.get(CHECKPOINT_KEY, None)
-    current = spark.sparkContext.getCheckpointDir()
-    if shared:
-        if not current:
-            spark.sparkContext.setCheckpointDir(shared)
-        return shared
-    if not current:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="barlake-checkpoint-"))
-    return spark.sparkContext.getCheckpointDir()
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder and drop its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

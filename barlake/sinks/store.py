@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.functions.timing import as_of_literal
-from barlake.operators.filters import daily, intraday
+from barlake.operators.filters import daily, in_timeframes, intraday
 from barlake.operators.keyed import with_time
 from barlake.plans.merge import delta_of
 from barlake.plans.quality import QualityTables, quality_counters, quality_tables
-from barlake.schema import BAR_COLUMNS, BARS, DAILY_KEY, INTRADAY_KEY, TICKER, TIMEFRAME, TS, VALUES
+from barlake.schema import BAR_COLUMNS, BARS, DAILY_KEY, INTRADAY_KEY, TICKER, TIMEFRAME, TS, VALUES, YEAR
 from barlake.sources.lake import empty_bars, path_exists, read_bars
 
 LANDING_FILE = "landing_file"
@@ -55,30 +54,31 @@ def write_delta(delta: DataFrame, path: str, batch_id: str) -> None:
 def read_delta(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
     """Bars of one delta; none if the batch added nothing."""
     folder = f"{path}/batch_id={batch_id}"
-    return read_bars(spark, folder) if path_exists(spark, folder) else empty_bars(spark)
+    return spark.read.schema(BARS).parquet(folder) if path_exists(spark, folder) else empty_bars(spark)
 
 
 def in_storage_order(bars: DataFrame) -> DataFrame:
-    """SRT-1: by bar size, ticker and time. The time is part of the range key, so a hot series is split."""
-    order = [TIMEFRAME, TICKER, TS]
-    return bars.select(*BAR_COLUMNS).repartitionByRange(*order).sortWithinPartitions(*order)
+    """SRT-1: by bar size, year, ticker and time. The time is part of the range key, so a hot series is split."""
+    order = [TIMEFRAME, YEAR, TICKER, TS]
+    dated = bars.select(*BAR_COLUMNS, F.year(TS).alias(YEAR))
+    return dated.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def append_bars(bars: DataFrame, path: str) -> None:
     """SNK-4: add bars to the master; rows already there are never rewritten."""
-    in_storage_order(bars).write.mode("append").partitionBy(TIMEFRAME).parquet(path)
+    in_storage_order(bars).write.mode("append").partitionBy(TIMEFRAME, YEAR).parquet(path)
 
 
 def write_snapshot(bars: DataFrame, path: str) -> None:
     """SNK-4, exact form: a whole master into a path that does not exist yet."""
-    in_storage_order(bars).write.mode("errorifexists").partitionBy(TIMEFRAME).parquet(path)
+    in_storage_order(bars).write.mode("errorifexists").partitionBy(TIMEFRAME, YEAR).parquet(path)
 
 
 def merge_into_master(batch: DataFrame, master_path: str, delta_path: str, batch_id: str) -> None:
     """PIP-2 against a stored master: write the delta, then append it.
 
-    Only the part of the master that can hold keys of the batch is read: its bar sizes (folders) and
-    time range (file statistics). Safe to repeat after a failure at any point: until the append
+    Only the part of the master that can hold keys of the batch is read: its bar sizes and years
+    (folders) and time range (file statistics). Safe to repeat after a failure at any point: until the append
     commits, the same delta is written again; afterwards nothing is new.
     """
     spark = batch.sparkSession
@@ -89,10 +89,8 @@ def merge_into_master(batch: DataFrame, master_path: str, delta_path: str, batch
     if span["first"] is None:
         return
     if path_exists(spark, master_path):
-        master = read_bars(spark, master_path).where(
-            F.col(TIMEFRAME).isin(*span["sizes"])
-            & F.col(TS).between(as_of_literal(span["first"]), as_of_literal(span["last"]))
-        )
+        master = read_bars(spark, master_path, span["first"], span["last"])
+        master = in_timeframes(master, span["sizes"])
     else:
         master = empty_bars(spark)
     write_delta(delta_of(batch, master), delta_path, batch_id)
@@ -103,8 +101,8 @@ def merge_into_master(batch: DataFrame, master_path: str, delta_path: str, batch
 
 def copy_daily(bars: DataFrame, path: str) -> None:
     """SNK-7: all daily bars into a scratch area."""
-    out = daily(bars).write.mode("overwrite").option("partitionOverwriteMode", "static")
-    out.partitionBy(TIMEFRAME).parquet(path)
+    out = in_storage_order(daily(bars)).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    out.partitionBy(TIMEFRAME, YEAR).parquet(path)
 
 
 def write_quality(

@@ -2,25 +2,35 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from barlake.schema import BAR_COLUMNS, BARS, TS, VALUES, YEAR
 
-from barlake.functions.parsing import no_nan
-from barlake.schema import BAR_COLUMNS, BARS, TS, VALUES
+STORED = T.StructType([*BARS.fields, T.StructField(YEAR, T.IntegerType())])
 
 
 def empty_bars(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], BARS)
 
 
-def read_bars(spark: SparkSession, path: str) -> DataFrame:
+def read_bars(
+    spark: SparkSession, path: str, since: datetime | None = None, until: datetime | None = None
+) -> DataFrame:
     """SRC-7, SRC-8: one multi-file scan of a Parquet store of bars, all series at once.
 
     The schema is given, never inferred: a store with daily bars only would otherwise read its
-    ``timeframe=1d`` folders as the number 1.0.
+    ``timeframe=1d`` folders as the number 1.0. A time range prunes the year folders and, by file
+    statistics, the files inside them.
     """
-    bars = spark.read.schema(BARS).parquet(path).select(*BAR_COLUMNS)
-    return bars.withColumns({c: no_nan(F.col(c)) for c in VALUES})
+    stored = spark.read.schema(STORED).parquet(path)
+    for bound, year_test, ts_test in ((since, ">=", ">="), (until, "<=", "<=")):
+        if bound is not None:
+            stored = stored.where(f"{YEAR} {year_test} {bound.year} AND {TS} {ts_test} TIMESTAMP_NTZ '{bound}'")
+    return stored.selectExpr(*[f"nullif({c}, double('NaN')) AS {c}" if c in VALUES else c for c in BAR_COLUMNS])
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

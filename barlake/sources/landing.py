@@ -41,6 +41,11 @@ def read_landing(spark: SparkSession, path: str | list[str], timeframes: list[st
     )
 
 
+def files_may_be_broadcast(lines: DataFrame) -> bool:
+    """For lines straight from a text scan: the file list of the scan bounds the files, no job needed."""
+    return 0 < len(lines.inputFiles()) <= BROADCAST_ROWS
+
+
 def with_file_keys(lines: DataFrame) -> DataFrame:
     """SRC-9: ticker and timeframe from the file name."""
     stem = file_stem(F.col("source_file"))
@@ -54,13 +59,10 @@ def cells_by_column(lines: DataFrame, columns: list[str] | None = None, files_fi
     ``has_header``. Rows of a file without a usable header keep NULL cells. ``seq`` follows the line
     order of each file, since splits are scanned in file order.
 
-    ``files_fit`` says whether a table with one row per file may be broadcast; by default the file
-    list of the scan decides, without running a job.
+    ``files_fit`` says whether a table with one row per file may be broadcast; by default its rows
+    are counted first, which scans the text once more (``files_may_be_broadcast`` avoids that).
     """
     columns = columns or [c.capitalize() for c in VALUES]
-    if files_fit is None:
-        known_files = len(lines.inputFiles())
-        files_fit = 0 < known_files <= BROADCAST_ROWS or None
     rows = (
         with_file_keys(lines)
         .withColumn("cells", csv_cells(F.col("line")))

@@ -1,6 +1,7 @@
 """Every registered query against its SQL counterpart, and the shape of the plans."""
 
 import re
+from datetime import datetime
 
 import pytest
 
@@ -60,6 +61,8 @@ def test_watermark_reaches_the_scan(spark, tmp_path, bars_of_rows):
     bars = read_bars(spark, path)
     assert "GreaterThan(ts," in plan_of(new_for_target(bars, bars, "ts"))
     assert newer_than(bars, bars).count() == 0
+    in_year = plan_of(read_bars(spark, path, datetime(2024, 1, 2), datetime(2024, 1, 2)))
+    assert "(bar_year#" in in_year and "GreaterThanOrEqual(ts," in in_year
     only_daily = plan_of(bars.where("timeframe = '1d'").select("close"))
     assert "PartitionFilters: [isnotnull(timeframe" in only_daily and "ReadSchema: struct<close:double>" in only_daily
 
