@@ -290,14 +290,18 @@ def banner_filter(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def landing_clean(spark: SparkSession, sf: str) -> DataFrame:
     """PIP-1 over landing lines derived from every event: two header layouts, banners, bad cells."""
-    return clean.bars_of(clean.clean_landing(_landing_lines(spark, sf))).drop("seq")
+    return clean.bars_of(_cleaned(spark, sf)).drop("seq")
 
 
 @query
 def landing_rejects(spark: SparkSession, sf: str) -> DataFrame:
     """PIP-1: what could not be used, by file and reason."""
-    cleaned = clean.clean_landing(_landing_lines(spark, sf))
-    return clean.rejects_of(cleaned).groupBy("source_file", "reason").agg(F.count("*").alias("n"))
+    return clean.rejects_of(_cleaned(spark, sf)).groupBy("source_file", "reason").agg(F.count("*").alias("n"))
+
+
+def _cleaned(spark: SparkSession, sf: str) -> DataFrame:
+    """There is one landing file per series, so counting the series bounds the files."""
+    return clean.clean_landing(_landing_lines(spark, sf), files_fit=series_fit(views.bars_dirty(spark, sf)))
 
 
 def _landing_lines(spark: SparkSession, sf: str) -> DataFrame:

@@ -39,7 +39,7 @@ class Blocked:
 
 
 def _seq_range(rows_per_block: int) -> Column:
-    return F.expr(f"floor({SEQ} / {rows_per_block})")
+    return F.expr(f"{SEQ} div {rows_per_block}")
 
 
 def has_series(bars: DataFrame) -> DataFrame:
@@ -53,10 +53,14 @@ def with_slot(bars: DataFrame, bars_per_slot: int | None = None) -> DataFrame:
 
 @dataclass(frozen=True)
 class CrowdedSlots:
-    """Time slots holding more rows than a task should take, and whether their list may be broadcast."""
+    """Time slots holding more rows than a task should take, and whether their list may be broadcast.
+
+    ``few_series``: there are so few slots that a table with one row per series may be broadcast.
+    """
 
     slots: DataFrame | None
     fits: bool = True
+    few_series: bool = False
 
     def mark(self, rows: DataFrame) -> DataFrame:
         """Rows with a ``_crowded`` flag (TRUE or NULL)."""
@@ -77,13 +81,15 @@ def find_crowded_slots(
     """
     slot = [*SERIES, "_slot"]
     counted = with_slot(bars.select(*KEY), bars_per_slot).groupBy(*slot).agg(F.expr("count(*) AS _n"))
+    totals = counted.agg(F.expr("count(*) AS slots"), F.expr("coalesce(max(_n), 0) AS largest")).first()
+    few_series = totals["slots"] <= BROADCAST_ROWS
+    if totals["largest"] <= (rows_per_block or ROWS_PER_BLOCK):
+        return CrowdedSlots(None, few_series=few_series)
     crowded = counted.where(F.col("_n") > (rows_per_block or ROWS_PER_BLOCK)).select(*slot)
     found = crowded.limit(BROADCAST_ROWS + 1).collect()
-    if not found:
-        return CrowdedSlots(None)
     if len(found) > BROADCAST_ROWS:
-        return CrowdedSlots(crowded, fits=False)
-    return CrowdedSlots(bars.sparkSession.createDataFrame(found, crowded.schema))
+        return CrowdedSlots(crowded, fits=False, few_series=few_series)
+    return CrowdedSlots(bars.sparkSession.createDataFrame(found, crowded.schema), few_series=few_series)
 
 
 def in_blocks(

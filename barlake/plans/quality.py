@@ -57,9 +57,9 @@ def quality_counters(
     series_small: bool | None = None,
 ) -> DataFrame:
     """One row of counters per series. ``expected`` adds series that are stored but hold no row (DQ-1)."""
-    if series_small is None:
-        series_small = series_fit(bars)
     crowded = find_crowded_slots(bars)
+    if series_small is None:
+        series_small = crowded.few_series or series_fit(bars)
     outliers = outlier_counts(bars, order=order, fill=fill, series_small=series_small, crowded=crowded)
     counters = (
         row_counters(bars)
