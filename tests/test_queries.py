@@ -6,11 +6,13 @@ from datetime import datetime
 import pytest
 
 import __spark_entry__ as driver
+from barlake.catalog import oracles
+from barlake.catalog import queries as catalog
 from barlake.session import use_utc
 from tests.oracle import both, connect
 
-QUERIES = driver.queries()
-SQL = driver.oracle_sql()
+QUERIES = dict(catalog.REGISTRY)
+SQL = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +22,7 @@ def con(small_sf):
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
