@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from barlake.llm.packing import pack
+from barlake.llm.simple8b import encoded_and_read
 from barlake.llm.token_counts import token_counts
 
 
@@ -11,11 +14,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = encoded_and_read(_table(spark, sf_dir, "documents"))
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op7_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_digest(_table(spark, sf_dir, "documents"))
+
+
+def packed_digest(docs: DataFrame) -> DataFrame:
+    columns = ["doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"]
+    return pack(docs).select(*columns)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"))
 
 
 REGISTRY = {
+    "op6_simple8b_ids": op6_simple8b_ids,
+    "op7_window_packing": op7_window_packing,
     "op9_token_counts": op9_token_counts,
 }
 ORACLE_SQL: dict[str, str] = {}

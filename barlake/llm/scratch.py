@@ -32,7 +32,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df``, computed once and kept as Parquet in the shared folder; cuts lineage."""
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -45,12 +45,13 @@ def find_package(spark: SparkSession) -> None:
 
 
 def over_texts(
-    docs: DataFrame, work: Callable[[list, list[str]], pa.RecordBatch | dict], schema: str, rows: int = 512
+    docs: DataFrame, work: Callable[[list, list[str]], dict], schema: str, rows: int = 512, arrow: bool = False
 ) -> DataFrame:
     """Apply ``work(ids, texts)`` to at most ``rows`` documents at a time; null texts become empty.
 
     Only ``doc_id`` and ``text`` are read, so extra columns of any name do no harm. ``work`` returns
-    a dict of column lists in the order of ``schema``; the number of rows is up to it.
+    a dict of the columns of ``schema``; the number of rows is up to it. With ``arrow`` it gets the
+    texts as an Arrow array.
     """
     find_package(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -60,8 +61,8 @@ def over_texts(
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
-                texts = [x or "" for x in part.column(1).to_pylist()]
-                out = work(part.column(0).to_pylist(), texts)
+                texts = part.column(1).fill_null("")
+                out = work(part.column(0).to_pylist(), texts if arrow else texts.to_pylist())
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in target], schema=target)
 
     return narrow.mapInArrow(run, schema)
