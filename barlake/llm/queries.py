@@ -6,14 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.llm.packing import pack
+from barlake.llm.pii import find_pii
 from barlake.llm.simple8b import encoded_and_read
 from barlake.llm.token_counts import token_counts
+from barlake.llm.url_lm import judge_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(_table(spark, sf_dir, "documents"))
+
+
+def op5_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages"))
+
+
 def op6_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = encoded_and_read(_table(spark, sf_dir, "documents"))
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -33,6 +43,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op3_pii_spans": op3_pii_spans,
+    "op5_url_verdicts": op5_url_verdicts,
     "op6_simple8b_ids": op6_simple8b_ids,
     "op7_window_packing": op7_window_packing,
     "op9_token_counts": op9_token_counts,
