@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barlake.llm import quality
 from barlake.llm.packing import pack
 from barlake.llm.pii import find_pii
 from barlake.llm.simple8b import encoded_and_read
@@ -20,6 +21,11 @@ def op3_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(_table(spark, sf_dir, "documents"))
 
 
+def op4_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op5_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages"))
 
@@ -44,6 +50,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op3_pii_spans": op3_pii_spans,
+    "op4_quality_scores": op4_quality_scores,
     "op5_url_verdicts": op5_url_verdicts,
     "op6_simple8b_ids": op6_simple8b_ids,
     "op7_window_packing": op7_window_packing,
