@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from barlake.llm import quality
 from barlake.llm.packing import pack
 from barlake.llm.pii import find_pii
+from barlake.llm.simhash import near_duplicates
 from barlake.llm.simple8b import encoded_and_read
 from barlake.llm.token_counts import token_counts
 from barlake.llm.url_lm import judge_urls
@@ -44,6 +45,10 @@ def packed_digest(docs: DataFrame) -> DataFrame:
     return pack(docs).select(*columns)
 
 
+def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ REGISTRY = {
     "op5_url_verdicts": op5_url_verdicts,
     "op6_simple8b_ids": op6_simple8b_ids,
     "op7_window_packing": op7_window_packing,
+    "op8_simhash_groups": op8_simhash_groups,
     "op9_token_counts": op9_token_counts,
 }
 ORACLE_SQL: dict[str, str] = {}
