@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import quality
+from barlake.llm import quality, sharding
 from barlake.llm.packing import pack
 from barlake.llm.pii import find_pii
 from barlake.llm.simhash import near_duplicates
@@ -18,6 +18,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(_table(spark, sf_dir, "documents"))
+
+
 def op3_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(_table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op2_hash_shards": op2_hash_shards,
     "op3_pii_spans": op3_pii_spans,
     "op4_quality_scores": op4_quality_scores,
     "op5_url_verdicts": op5_url_verdicts,
@@ -62,4 +67,4 @@ REGISTRY = {
     "op8_simhash_groups": op8_simhash_groups,
     "op9_token_counts": op9_token_counts,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op2_hash_shards": sharding.oracle()}
