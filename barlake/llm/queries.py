@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.llm import quality, sharding
+from barlake.llm.decontamination import leaks
 from barlake.llm.packing import pack
 from barlake.llm.pii import find_pii
 from barlake.llm.simhash import near_duplicates
@@ -57,6 +58,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"))
 
 
+def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 REGISTRY = {
     "op2_hash_shards": op2_hash_shards,
     "op3_pii_spans": op3_pii_spans,
@@ -66,5 +71,6 @@ REGISTRY = {
     "op7_window_packing": op7_window_packing,
     "op8_simhash_groups": op8_simhash_groups,
     "op9_token_counts": op9_token_counts,
+    "op10_benchmark_leaks": op10_benchmark_leaks,
 }
 ORACLE_SQL = {"op2_hash_shards": sharding.oracle()}
