@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from barlake.llm import quality, sharding
 from barlake.llm.decontamination import leaks
+from barlake.llm.graph_search import nearest
 from barlake.llm.packing import pack
 from barlake.llm.pii import find_pii
 from barlake.llm.simhash import near_duplicates
@@ -19,6 +20,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op1_graph_neighbours": op1_graph_neighbours,
     "op2_hash_shards": op2_hash_shards,
     "op3_pii_spans": op3_pii_spans,
     "op4_quality_scores": op4_quality_scores,
