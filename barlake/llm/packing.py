@@ -116,13 +116,13 @@ def poured(windows: list[Window]) -> list[Window]:
     return [w for w in windows if w.pieces]
 
 
-def rows_of(windows: list[Window], schema: pa.Schema) -> pa.RecordBatch:
+def rows_of(windows: list[Window], schema: pa.Schema, leftover: bool = False) -> pa.RecordBatch:
+    """One row per piece; with ``leftover``, windows that aren't full are marked as such."""
     columns: list[list] = [[] for _ in schema]
     for w in windows:
         offset = 0
         for doc_id, start, ids, total in w.pieces:
-            data = ids if isinstance(ids, bytes) else ids.astype("<u4").tobytes()
-            row = (doc_id, start, len(ids), total, w.sequence_id, offset, data, w.free > 0)
+            row = (doc_id, start, len(ids), total, w.sequence_id, offset, ids.astype("<u4").tobytes(), leftover and w.free > 0)
             for column, value in zip(columns, row, strict=True):
                 column.append(value)
             offset += len(ids)
@@ -151,7 +151,7 @@ def pack(docs: DataFrame, end_id: int = END_ID, tokenizer: str = BYTE_BPE) -> Da
                 if packer.done:
                     yield rows_of(packer.emitted(), target)
         if left := poured([w for _, _, w in packer.open]):
-            yield rows_of(left, target)
+            yield rows_of(left, target, leftover=True)
 
     pieces = stored(narrow.mapInArrow(online, PIECES), "pieces")
     done, left = pieces.where("NOT leftover"), pieces.where("leftover")
@@ -177,7 +177,7 @@ def _pour(left: DataFrame, groups: int) -> DataFrame:
                 window = windows.setdefault(row["sequence_id"], Window(row["sequence_id"]))
                 window.put((row["doc_id"], row["start"], np.frombuffer(row["ids"], "<u4"), row["doc_tokens"]))
         if windows:
-            yield rows_of(poured(list(windows.values())), target)
+            yield rows_of(poured(list(windows.values())), target, leftover=True)
 
     # A window's pieces stay together; a task holds a few hundred windows.
     dealt = left.repartition(groups, "sequence_id").sortWithinPartitions("sequence_id", "offset")
