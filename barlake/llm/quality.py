@@ -19,14 +19,16 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.scratch import over_texts
+from barlake.llm.scratch import find_package, over_texts
 
 FOLDS = 5
 #: The classifier is fitted on at most so many labelled rows of each class.
@@ -186,3 +188,18 @@ def score(docs: DataFrame, model: Classifier) -> DataFrame:
     scored = over_texts(docs, work, "doc_id long, score double")
     predicted = F.when(F.col("score") >= ACCEPT, 1).otherwise(0)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def accepted(docs: DataFrame, model: Classifier) -> DataFrame:
+    """The documents, with all their columns, that the classifier predicts to be of class 1."""
+    find_package(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                texts = part.column(part.schema.get_field_index("text")).fill_null("").to_pylist()
+                yield part.filter(pa.array(shared.value.scores(texts) >= ACCEPT))
+
+    return docs.mapInArrow(run, docs.schema)
