@@ -91,10 +91,16 @@ def directory(assigned: DataFrame) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT, key: str = "doc_id", text: str = "text") -> None:
-    """Write the rows as Parquet, one folder per shard; ``key`` must be unique and not null."""
-    shards = assign(docs, limit, key, text).select(F.col(key).alias("_key"), "shard")
-    named = docs.join(shards, docs[key] == shards["_key"]).drop("_key")
-    named.repartition("shard").write.partitionBy("shard").parquet(path)
+    """Write the rows as Parquet, one folder per shard; ``key`` must be unique and not null.
+
+    The folders' column is ``shard``, with underscores behind if the rows have one of that name.
+    """
+    name = "shard"
+    while name in docs.columns:
+        name += "_"
+    shards = assign(docs, limit, key, text).select(F.col(key).alias(f"{name}_key"), F.col("shard").alias(name))
+    placed = docs.join(shards, docs[key] == shards[f"{name}_key"]).drop(f"{name}_key")
+    placed.repartition(name).write.partitionBy(name).parquet(path)
 
 
 def oracle(limit: int = LIMIT, levels: int = 24) -> str:
