@@ -1,0 +1,292 @@
+"""Personal data, quality, URLs and benchmark leaks against brute force and held-out rows."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from barlake.llm import decontamination, pii, quality, url_lm
+from tests.llm.conftest import ODD_TEXTS
+
+BASE = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
+    "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+}
+
+
+def brute_spans(text):
+    out = []
+    for kind, pattern in BASE.items():
+        for m in pattern.finditer(text):
+            digits = [int(c) for c in m[0] if c.isdigit()]
+            folded = sum(d if k % 2 == 0 else d // 5 + 2 * d % 10 for k, d in enumerate(reversed(digits)))
+            if (
+                kind == "email"
+                or (kind == "ip" and all(int(p) <= 255 for p in m[0].split(".")))
+                or (kind == "card" and 14 <= len(digits) <= 19 and folded % 10 == 0)
+                or (kind == "phone" and 10 <= len(digits) <= 15)
+            ):
+                out.append((m.start(), m.end(), kind))
+    return sorted(out, key=lambda s: (s[0], list(BASE).index(s[2])))
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.text(alphabet="a.@-_+ 0123456789()é%\n", max_size=70))
+def test_base_spans(text):
+    assert [s[:3] for s in pii.candidates(text) if s[3]] == brute_spans(text)
+
+
+def test_spans_of_documents(spark, docs_of, documents):
+    texts = [*ODD_TEXTS, "mail a.b@c.example.com or +1 (705) 555-6638, 4111 1111 1111 1111 from 10.0.0.1", "9" * 4000 + ".1.1.1"]
+    texts += [r["text"] for r in documents.collect()]
+    rows = {r["doc_id"]: r for r in pii.find_pii(docs_of(texts)).collect()}
+    for i, text in enumerate(texts):
+        base = brute_spans(text or "")
+        line = ",".join(f"{k}:{a}:{b}" for a, b, k in base)
+        assert rows[i]["base_sha256"] == hashlib.sha256(line.encode()).hexdigest()
+        assert [rows[i][f"n_{k}"] for k in BASE] == [sum(s[2] == k for s in base) for k in BASE]
+        assert set(line.split(",")) <= set(rows[i]["spans"].split(",")) or not base
+    assert pii.find_pii(docs_of([])).count() == 0
+
+
+def test_classifier_adds_spelt_out_forms(spark, docs_of):
+    plain = [f"write to user{i}@mail.example.com now, or +1 (705) 555-{6000 + i} today" for i in range(40)]
+    texts = [*plain, "contact john (at) example (dot) com please", "call (705) 555-6638 now", "numbers 999.1.1.1 and 12345678901234"]
+    rows = {r["doc_id"]: r["spans"] for r in pii.find_pii(docs_of(texts)).collect()}
+    assert rows[40].startswith("email:8:") and rows[41] == "phone:5:19" and rows[42] == ""
+    out = {r["doc_id"]: r for r in pii.redact(docs_of([*texts, None])).collect()}
+    assert out[41]["text"] == "call [PHONE] now" and out[41]["n_chars"] == len("call [PHONE] now")
+    assert out[0]["text"] == "write to [EMAIL] now, or [PHONE] today"
+    assert out[42]["text"] == texts[42] and out[43]["text"] is None and out[43]["n_chars"] is None
+
+
+def test_labelers_are_weighed_by_agreement():
+    names = ["ip 1 1 1 -1 1 1 0", "ip 0 0 1 -1 1 1 0", "ip 0 0 0 -1 1 1 0", "ip 1 1 1 -1 0 1 0"]
+    found, posterior = pii.reliabilities(names, np.array([500, 80, 90, 4]))
+    assert posterior[0] > 0.95 > 0.5 > posterior[1] > 0 and posterior[2] < 0.05
+    yes_true, yes_false = found["ip"][1]
+    assert yes_true > 0.9 and yes_false < 0.2
+    empty = pii.train([], np.array([]))
+    assert empty.probability("email -1 1 1 -1 1 1 1") == 0.5
+
+
+@pytest.mark.parametrize("text", ["a" * 100_000, "1" * 100_000, "1." * 50_000, "a@" * 50_000, "+1" + " " * 100_000])
+def test_matching_is_linear(text):
+    pii.candidates(text)
+
+
+def test_quality_of_held_out_rows(spark, oracle_sf):
+    docs = spark.read.parquet(f"{oracle_sf}/documents.parquet")
+    labels = spark.read.parquet(f"{oracle_sf}/labels.parquet")
+    model = quality.fit(docs, labels)
+    rows = quality.score(docs, model).join(labels, "doc_id").collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+    assert all(r["predicted"] == (r["score"] >= 0.3) and 0 <= r["score"] <= 1 for r in rows)
+    held = [r for r in rows if r["held_out"]]
+    assert sum(r["predicted"] == r["quality"] for r in held) >= 0.95 * len(held)
+    # Labels of held-out rows are not learnt from.
+    turned = labels.withColumn("quality", F.when(quality.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert quality.fit(docs, turned) == model
+
+
+def test_quality_of_odd_rows(spark, docs_of):
+    docs = docs_of([*ODD_TEXTS, (None, "no id"), (4, "again")])
+    few = spark.createDataFrame([(1, 1), (5, None), (None, 0), (99, 1), (4, 0), (4, 1), (6, 0)], "doc_id long, quality int")
+    for labels in (few, few.where("false"), few.where("quality = 1")):
+        model = quality.fit(docs, labels)
+        rows = quality.score(docs, model).collect()
+        assert len(rows) == len(ODD_TEXTS) + 2 and all(0 <= r["score"] <= 1 for r in rows)
+        assert quality.accepted(docs, model).count() == sum(r["predicted"] for r in rows)
+    assert quality.score(docs_of([]), model).count() == 0
+
+
+def test_dual_descent_reaches_the_optimum():
+    rng = np.random.default_rng(1)
+    rows = [np.flatnonzero(rng.random(12) < 0.4) for _ in range(60)]
+    y = np.where([(3 in r) != (5 in r) for r in rows], 1, -1)
+    scale, cost = rng.uniform(0.5, 1.5, 12), np.full(60, 0.3)
+    x = np.zeros((60, 12))
+    for i, r in enumerate(rows):
+        x[i, r] = scale[r]
+    goal = lambda w: 0.5 * w @ w + cost @ np.maximum(0, 1 - y * (x @ w))
+    w, best = np.zeros(12), math.inf
+    for k in range(20_000):  # brute force: subgradient steps
+        w = w - (w - x.T @ (cost * y * (y * (x @ w) < 1))) / (k + 1)
+        best = min(best, goal(w))
+    assert goal(quality.dual_descent(rows, scale, y, cost)) <= best * 1.02
+
+
+def brute_host_path(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host) :])[0]
+    return "".join(c.lower() if c.isascii() else c for c in host), path
+
+
+def brute_rule(host, path):
+    best = None
+    for action, rule in url_lm.RULES:
+        name, _, start = rule.partition("/")
+        if (host == name or host.endswith("." + name)) and path.startswith("/" + start):
+            if best is None or len(rule) > len(best[1]):
+                best = (action, rule)
+    return best or (None, None)
+
+
+def brute_scores(urls):
+    """Score by all counts of each (host, path), straight from the definition."""
+    text_of = lambda hp: re.sub("[0-9]", "0", hp[0] + hp[1])
+    counts = {s: [Counter() for _ in range(url_lm.ORDER + 1)] for s in ("allow", "block")}
+    pad = lambda t: url_lm.START * url_lm.ORDER + t + url_lm.END
+    for url in urls:
+        hp = brute_host_path(url)
+        action = brute_rule(*hp)[0]
+        if text_of(hp) and action:
+            t = pad(text_of(hp))
+            for i in range(url_lm.ORDER, len(t)):
+                for k in range(url_lm.ORDER + 1):
+                    counts[action][k][t[i - k : i + 1]] += 1
+    context = {s: [Counter() for _ in c] for s, c in counts.items()}
+    for s, tables in counts.items():
+        for k, table in enumerate(tables):
+            for gram, n in table.items():
+                context[s][k][gram[:-1]] += n
+
+    def chance(s, gram):
+        p = 1 / url_lm.ALPHABET
+        for k in range(url_lm.ORDER + 1):
+            own = gram[url_lm.ORDER - k :]
+            p = (counts[s][k][own] + url_lm.PRIOR * p) / (context[s][k][own[:-1]] + url_lm.PRIOR)
+        return p
+
+    out = {}
+    for url in urls:
+        t = text_of(brute_host_path(url))
+        if t:
+            grams = [pad(t)[i : i + url_lm.ORDER + 1] for i in range(len(t) + 1)]
+            out[url] = sum(math.log(chance("allow", g) / chance("block", g)) for g in grams) / len(grams)
+    return out
+
+
+def test_urls_against_brute_force(spark, small_sf):
+    urls = [r["url"] for r in spark.read.parquet(f"{small_sf}/pages.parquet").collect()]
+    urls += [None, "", "no host", "http://", "HTTP://A.Example.NET/en/1?x=/fr/", "ftp://net", "x://net/", "a://b://c.org/fr/2#z",
+             "http://badnet/en/", "http://É.example.com/de/ü", "http://x.org/fr/" + "y" * 3000, urls[0], urls[0]]
+    schema = "page_id long, url string, html string, text string, host int, score string"
+    pages = spark.createDataFrame([(i, u, None, "t", 1, "s") for i, u in enumerate([*urls, "http://n.net/"])][:-1] + [(None, "http://n.net/", None, "t", 1, "s")], schema)
+    rows = url_lm.judge_urls(pages).collect()
+    assert len(rows) == len(urls) + 1
+    scores = brute_scores([*urls, "http://n.net/"])
+    least = {"allow": [], "block": []}
+    for r in rows:
+        url = "http://n.net/" if r["page_id"] is None else urls[r["page_id"]]
+        host, path = brute_host_path(url)
+        action, rule = brute_rule(host, path)
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule)
+        if url in scores:
+            assert abs(r["score"] - scores[url]) < 1e-9
+        else:
+            assert r["score"] is None and r["verdict"] == "allow"
+        if action:
+            assert r["verdict"] == action
+        elif r["score"] is not None:
+            least[r["verdict"]].append(r["score"])
+    assert not least["allow"] or not least["block"] or min(least["allow"]) > max(least["block"])
+    assert url_lm.judge_urls(pages.where("false")).count() == 0
+    assert {r["verdict"] for r in url_lm.judge_urls(pages, rules=()).collect()} == {"allow"}
+
+
+def test_url_plan_is_native(spark, small_sf):
+    df = url_lm.judge_urls(spark.read.parquet(f"{small_sf}/pages.parquet"))
+    assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
+
+
+def brute_alignment(words, item):
+    table = np.zeros((len(item) + 1, len(words) + 1))
+    for i, a in enumerate(item, 1):
+        for j, b in enumerate(words, 1):
+            step = 1 if a == b and b else -decontamination.PENALTY
+            gap = decontamination.PENALTY
+            table[i, j] = max(0, table[i - 1, j - 1] + step, table[i - 1, j] - gap, table[i, j - 1] - gap)
+    return table.max()
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.integers(0, 4), min_size=1, max_size=25), st.lists(st.integers(1, 4), min_size=1, max_size=10)), min_size=1, max_size=5))
+def test_alignment(pairs):
+    words, items = ([np.array(x, np.int32) for x in side] for side in zip(*pairs, strict=True))
+    best, end = decontamination.aligned(list(words), list(items))
+    words, items = zip(*pairs, strict=True)
+    for w, q, b, e in zip(words, items, best, end, strict=True):
+        assert abs(b - brute_alignment(w, q)) < 1e-4
+        assert not b or abs(brute_alignment(w[:e], q) - b) < 1e-4
+
+
+def brute_leaks(docs, items):
+    out = {}
+    for d, text in docs:
+        for i, item in items:
+            q, w = decontamination.words_of(item or ""), decontamination.words_of(text or "")
+            if len(q) >= decontamination.NGRAM and w:
+                score = brute_alignment(w, q) / len(q)
+                if score >= decontamination.LEAST_SCORE:
+                    out[d, i] = max(score, out.get((d, i), 0))
+    return out
+
+
+def test_leaks_against_brute_force(spark, docs_of):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 5)))
+    words = [word() for _ in range(400)]
+    text = lambda n: [rng.choice(words) for _ in range(n)]
+    items = [(i, " ".join(text(rng.randint(15, 40)))) for i in range(12)]
+    docs = []
+    for d in range(60):
+        body = text(80)
+        if d % 3 == 0:
+            own = items[d % 12][1].split()
+            for _ in range(len(own) // 8 if d % 2 else 0):  # an edited copy
+                own[rng.randrange(len(own))] = word()
+            body[30:30] = [w.upper() + "," for w in own]
+        docs.append((d, " ".join(body)))
+    docs += [(100 + i, t) for i, t in enumerate(ODD_TEXTS) if i != 5] + [(200 + i, f"so {items[2][1]} it is") for i in range(300)]
+    odd_items = [(50, None), (51, ""), (52, "two words"), (None, "some item without an id"), (2, items[2][1]), (2, "x y z w v")]
+    bench = spark.createDataFrame([(i, t, "c") for i, t in [*items, *odd_items]], "item_id long, text string, words string")
+    rows = decontamination.leaks(docs_of(docs), bench).collect()
+    want = brute_leaks(docs, [*items, *odd_items])
+    assert {(r["doc_id"], r["item_id"]): round(r["score"], 4) for r in rows} == {k: round(v, 4) for k, v in want.items()}
+    by_id = dict(docs)
+    for r in rows:
+        if r["score"] == 1:
+            inside = decontamination.words_of(by_id[r["doc_id"]])[r["first_word"] : r["last_word"] + 1]
+            assert inside in [decontamination.words_of(t or "") for i, t in [*items, *odd_items] if i == r["item_id"]]
+    kept = decontamination.without_leaks(docs_of([*docs, (None, "clean words")]), bench)
+    assert {r["doc_id"] for r in kept.collect()} == ({d for d, _ in docs} | {None}) - {d for d, _ in want}
+    assert decontamination.leaks(docs_of([]), bench).count() == 0
+    assert decontamination.leaks(docs_of(docs[:3]), bench.where("false")).count() == 0
+
+
+def test_blocks_of_items_give_the_same(spark, documents, small_sf, monkeypatch):
+    bench = spark.read.parquet(f"{small_sf}/benchmark.parquet")
+    whole = sorted(decontamination.leaks(documents, bench).collect())
+    monkeypatch.setattr(decontamination, "BLOCK_CHARS", 3_000)
+    assert sorted(decontamination.leaks(documents, bench).collect()) == whole and whole
+
+
+def test_every_stretch_has_a_seed():
+    items = decontamination.build([(1, "a b c d e f g h i j")])
+    common = {int(g): 10**6 for g in items.grams}
+    seeds = decontamination.choose_seeds(items, common, 1000)
+    assert len(seeds) >= 2
