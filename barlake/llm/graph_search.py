@@ -29,13 +29,13 @@ from pyspark.sql import functions as F
 from barlake.llm.scratch import arrow_schema, find_package, stored
 
 NEIGHBOURS = 24
-SAMPLE = 12
+SAMPLE = 14
 BACK = 16
-CHUNK = 512
-STARTS = 4
-ROUNDS = 4
-POOL = 160
-BEAM = 32
+CHUNK = 4096
+STARTS = 8
+ROUNDS = 3
+POOL = 320
+BEAM = 64
 ENTRIES = 8
 TOP = 20
 SPARE = 12
@@ -115,14 +115,14 @@ def chunk_lists(vectors: DataFrame, seed: int) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, x in chunks(batches):
-            sims = x @ x.T
-            np.fill_diagonal(sims, -np.inf)
             k = min(NEIGHBOURS, len(ids) - 1)
-            if k < 1:
-                continue
-            best = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-            value = np.take_along_axis(sims, best, axis=1)
-            yield list_rows(target, ids, list(ids[best]), list(value), [np.ones(k, bool)] * len(ids))
+            for at in range(0, len(ids) if k else 0, 512):
+                sims = x[at : at + 512] @ x.T
+                rows = np.arange(len(sims))
+                sims[rows, at + rows] = -np.inf
+                best = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+                value = np.take_along_axis(sims, best, axis=1)
+                yield list_rows(target, ids[at : at + 512], list(ids[best]), list(value), [np.ones(k, bool)] * len(sims))
 
     ordered = vectors.mapInArrow(project, "node long, half binary, o double").repartitionByRange("o")
     return ordered.sortWithinPartitions("o").mapInArrow(compare, LIST_ROW)
@@ -298,20 +298,17 @@ def search(queries: DataFrame, graph: DataFrame, vectors: DataFrame) -> DataFram
             none.cast("array<boolean>").alias("done"), F.col("entries").alias("next"),
         ), "search",
     )
-    ended = []
     while True:
         going = state.where("size(next) > 0")
-        ended.append(state.where("size(next) = 0").select("query_id", "ids", "sims"))
         if going.isEmpty():
-            return reduce(DataFrame.unionByName, ended)
+            return state.select("query_id", "ids", "sims")
         floor = F.when(F.size("sims") >= POOL, F.array_min("sims")).otherwise(F.lit(-2.0)).cast("float")
         steps = going.select("query_id", "q", floor.alias("floor"), F.explode("next").alias("node"))
         met = steps.join(near, "node").select("query_id", "q", "floor", "ids", "blocks").mapInArrow(score, scored)
         new = met.groupBy("query_id").agg(
             F.flatten(F.collect_list("ids")).alias("new_ids"), F.flatten(F.collect_list("sims")).alias("new_sims")
         )
-        wide = going.join(new, "query_id", "left")
-        state = stored(wide.mapInArrow(keep, STATE), "search")
+        state = stored(state.join(new, "query_id", "left").mapInArrow(keep, STATE), "search")
 
 
 def nearest(table: DataFrame, is_query: Column, top: int = TOP) -> DataFrame:
