@@ -391,6 +391,20 @@ def oracle_sql() -> dict[str, str]:
         "publish_combined": _with(
             "SELECT ticker, timeframe, ts AS \"timestamp\", open, high, low, close, volume FROM bars"
         ),
+        "publish_split_increment": _with(
+            _split_form("= '1d' AND ts > (SELECT max(ts) FROM master WHERE timeframe = '1d' AND ts < TIMESTAMP '2024-01-16')"),
+            MASTER,
+        ),
+        "publish_combined_increment": _with(
+            'SELECT ticker, timeframe, ts AS "timestamp", open, high, low, close, volume FROM (' + _first("fresh") + ") AS f",
+            MASTER,
+            (
+                "fresh",
+                "SELECT b.* FROM bars b LEFT JOIN (SELECT ticker AS mt, timeframe AS mf, max(ts) AS mark FROM master "
+                "WHERE ts < TIMESTAMP '2024-01-16' GROUP BY ticker, timeframe) AS m ON ticker = mt AND timeframe = mf "
+                "WHERE ts IS NOT NULL AND (mark IS NULL OR ts > mark)",
+            ),
+        ),
         "daily_subset": _with(f"SELECT {BAR} FROM bars WHERE timeframe = '1d'"),
         "pluggable_fetch": (
             "SELECT c_name AS ticker, '5m' AS timeframe, CASE WHEN c_custkey % 11 <> 0 "

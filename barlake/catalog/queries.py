@@ -12,7 +12,7 @@ from barlake.functions import timing
 from barlake.functions.parsing import to_bar_date, to_number, to_utc_wall_time
 from barlake.operators import counters, filters, freshness, keyed, returns, steps
 from barlake.operators.lookup import series_fit
-from barlake.plans import clean, merge, quality
+from barlake.plans import clean, merge, publish, quality
 from barlake.schema import BAR_COLUMNS, KEY, SERIES, TS, VALUES
 from barlake.sources import fetch, universe
 from barlake.sources.lake import latest_time
@@ -130,7 +130,7 @@ def dq_volume(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def simple_returns(spark: SparkSession, sf: str) -> DataFrame:
     """WIN-1 in stored order."""
-    return returns.simple_returns(views.bars_dirty(spark, sf))
+    return returns.simple_returns(views.bars_dirty(spark, sf), order="seq")
 
 
 @query
@@ -142,13 +142,13 @@ def simple_returns_by_time(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def simple_returns_unfilled(spark: SparkSession, sf: str) -> DataFrame:
     """WIN-1 without forward fill."""
-    return returns.simple_returns(views.bars_dirty(spark, sf), fill=False)
+    return returns.simple_returns(views.bars_dirty(spark, sf), order="seq", fill=False)
 
 
 @query
 def return_stats(spark: SparkSession, sf: str) -> DataFrame:
     """AGG-7."""
-    stats = returns.return_stats(returns.simple_returns(views.bars_dirty(spark, sf)))
+    stats = returns.return_stats(returns.simple_returns(views.bars_dirty(spark, sf), order="seq"))
     return stats.select(
         *SERIES, "n_returns", F.round("mean_ret", 6).alias("mean_ret"), F.round("std_ret", 6).alias("std_ret")
     )
@@ -158,14 +158,14 @@ def return_stats(spark: SparkSession, sf: str) -> DataFrame:
 def z_scores(spark: SparkSession, sf: str) -> DataFrame:
     """WIN-3, SCL-12."""
     bars = views.bars_dirty(spark, sf)
-    scored = returns.z_scores(returns.simple_returns(bars), series_fit(bars))
+    scored = returns.z_scores(returns.simple_returns(bars, order="seq"), series_fit(bars))
     return scored.select(*SERIES, "seq", F.round("z", 6).alias("z"))
 
 
 @query
 def dq_outliers(spark: SparkSession, sf: str) -> DataFrame:
     """DQ-6."""
-    return returns.outlier_counts(views.bars_dirty(spark, sf))
+    return returns.outlier_counts(views.bars_dirty(spark, sf), order="seq")
 
 
 @query
@@ -195,7 +195,7 @@ def dq_gaps(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def dq_counters(spark: SparkSession, sf: str) -> DataFrame:
     """All counters of the run in one table."""
-    return quality.quality_counters(views.bars_dirty(spark, sf))
+    return quality.quality_counters(views.bars_dirty(spark, sf), order="seq")
 
 
 @query
@@ -207,13 +207,13 @@ def dq_counters_hourly(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def dq_issues(spark: SparkSession, sf: str) -> DataFrame:
     """DQ-1..DQ-8, DQ-12, SCL-14."""
-    return quality.quality_run(views.bars_dirty(spark, sf)).issues.drop("metrics")
+    return quality.quality_run(views.bars_dirty(spark, sf), order="seq").issues.drop("metrics")
 
 
 @query
 def dq_results(spark: SparkSession, sf: str) -> DataFrame:
     """DQ-10, DQ-11, AGG-11; the issue list as text."""
-    results = quality.quality_run(views.bars_dirty(spark, sf)).results
+    results = quality.quality_run(views.bars_dirty(spark, sf), order="seq").results
     listed = F.concat_ws(" | ", F.transform("issue_details", lambda i: F.concat_ws(": ", i["type"], i["message"])))
     return results.select(*SERIES, "records", "issues", "status", listed.alias("issue_text"))
 
@@ -221,7 +221,7 @@ def dq_results(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def dq_stats(spark: SparkSession, sf: str) -> DataFrame:
     """DQ-13, AGG-10."""
-    return quality.quality_run(views.bars_dirty(spark, sf)).stats
+    return quality.quality_run(views.bars_dirty(spark, sf), order="seq").stats
 
 
 @query
@@ -234,10 +234,8 @@ def dq_empty_series(spark: SparkSession, sf: str) -> DataFrame:
         .select(F.col("n_name").alias("ticker"), sizes.alias("timeframe"))
         .unionByName(keyed.series_of(bars))
     )
-    counted = counters.row_counters(bars)
-    records = expected.join(counted, SERIES, "left").select(*SERIES, F.coalesce("records", F.lit(0)).alias("records"))
-    empty = records.where("records = 0")
-    return empty.select(*SERIES, F.lit("empty_data").alias("type"), F.lit("DataFrame is empty").alias("message"))
+    found = quality.quality_run(bars, expected, order="seq").issues
+    return found.where("type = 'empty_data'").select(*SERIES, "type", "message")
 
 
 @query
@@ -250,7 +248,7 @@ def rows_with_missing(spark: SparkSession, sf: str) -> DataFrame:
 def chart_data(spark: SparkSession, sf: str) -> DataFrame:
     """DQ-14, SRT-3: one series with its issue text."""
     bars = views.bars_dirty(spark, sf)
-    issues = quality.quality_run(bars).issues
+    issues = quality.quality_run(bars, order="seq").issues
     return quality.chart_data(bars, "click", "5m", issues)
 
 
@@ -451,6 +449,26 @@ def publish_combined(spark: SparkSession, sf: str) -> DataFrame:
     return _zone_free(filters.combined_publish_form(views.bars_dirty(spark, sf)), "timestamp")
 
 
+@query
+def publish_split_increment(spark: SparkSession, sf: str) -> DataFrame:
+    """PIP-3: the daily rows that a publish would append, behind the mark of what is published."""
+    bars = filters.daily(views.bars_dirty(spark, sf))
+    published = filters.split_publish_form(filters.daily(_published(spark, sf)))
+    return _zone_free(publish.split_increment(bars, published), "Date")
+
+
+@query
+def publish_combined_increment(spark: SparkSession, sf: str) -> DataFrame:
+    """PIP-4: mark, first row of each key and conflicts in one, per series."""
+    published = filters.combined_publish_form(_published(spark, sf))
+    return _zone_free(publish.combined_increment(views.bars_dirty(spark, sf), published, "series"), "timestamp")
+
+
+def _published(spark: SparkSession, sf: str) -> DataFrame:
+    """The first delivery's bars up to the middle of the month, as what was published so far."""
+    return views.bars_dirty(spark, sf, with_delivery=True).where("delivery = 1 AND ts < '2024-01-16'").drop("delivery")
+
+
 def _zone_free(published: DataFrame, column: str) -> DataFrame:
     """Both engines are compared on UTC wall times."""
     return published.withColumn(column, F.col(column).cast("timestamp_ntz"))

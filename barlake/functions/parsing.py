@@ -8,8 +8,14 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A time text must start with a four-digit year; a bare clock time would read as "today".
-_HAS_YEAR = r"^\s*\d{4}"
+# A bare clock time would read as "today", so text must start with a four-digit year, or have one of
+# these forms.
+_HAS_YEAR = r"^\s*\d{4}-"
+_OTHER_FORMS = {
+    r"^\s*\d{8}\s*$": ("yyyyMMdd",),
+    r"^\s*\d{1,2}/\d{1,2}/\d{4}": ("M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss"),
+    r"^\s*[A-Za-z]{3} \d{1,2}, \d{4}": ("MMM d, yyyy", "MMM d, yyyy H:mm", "MMM d, yyyy H:mm:ss"),
+}
 # Spark reads "5d" and "5f" as numbers; as bar values they are bad text.
 _TYPE_SUFFIXES = ("d", "D", "f", "F")
 _INFINITE = ("inf", "+inf", "-inf")
@@ -22,14 +28,30 @@ def to_number(text: Column) -> Column:
     return F.nullif(F.when(~suffixed, plain.try_cast("double")), F.lit(float("nan")))
 
 
+def _in_range(time: Column) -> Column:
+    """Times of years that every reader of the lake can hold; others are no times."""
+    return F.when(F.year(time).between(1, 9999), time)
+
+
+def _other_forms(text: Column) -> Column:
+    """Month-first, month-name and undivided dates, as zone-free times."""
+    found = F.lit(None).cast("timestamp")
+    for pattern, forms in _OTHER_FORMS.items():
+        parsed = F.coalesce(*[F.try_to_timestamp(F.trim(text), F.lit(form)) for form in forms])
+        found = F.when(text.rlike(pattern), parsed).otherwise(found)
+    return found.cast("timestamp_ntz")
+
+
 def to_bar_date(text: Column) -> Column:
     """SCL-1: text to DATE, keeping the written day when an offset follows."""
-    return F.when(text.rlike(_HAS_YEAR), text.try_cast("timestamp_ntz").cast("date"))
+    dated = F.when(text.rlike(_HAS_YEAR), text.try_cast("timestamp_ntz")).otherwise(_other_forms(text))
+    return _in_range(dated.cast("date"))
 
 
 def to_utc_wall_time(text: Column) -> Column:
     """SCL-2, SCL-4: text with any offset to zone-free UTC time (session zone is UTC)."""
-    return F.when(text.rlike(_HAS_YEAR), F.try_to_timestamp(text)).cast("timestamp_ntz")
+    timed = F.when(text.rlike(_HAS_YEAR), F.try_to_timestamp(text).cast("timestamp_ntz"))
+    return _in_range(timed.otherwise(_other_forms(text)))
 
 
 def to_utc_instant(value: Column) -> Column:

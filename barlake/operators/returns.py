@@ -20,7 +20,7 @@ def _with_carry(rows: DataFrame, carry: DataFrame, blocked: Blocked) -> DataFram
 def simple_returns(
     bars: DataFrame,
     value: str = "close",
-    order: str = "seq",
+    order: str = "ts",
     fill: bool = True,
     rows_per_block: int | None = None,
     bars_per_slot: int | None = None,
@@ -28,7 +28,8 @@ def simple_returns(
 ) -> DataFrame:
     """WIN-1: (series, seq, ret), one row per bar that has a return.
 
-    With ``fill`` a missing close repeats the last known one (its return is 0); without it such
+    ``order`` is the time, or ``seq`` within one delivery: a stored master holds several deliveries,
+    each with its own ``seq``. With ``fill`` a missing close repeats the last known one (its return is 0); without it such
     rows, and the row after each, have no return. A zero previous close gives no return.
     """
     blocked = in_blocks(bars, value, order, rows_per_block, bars_per_slot, crowded)
@@ -65,7 +66,7 @@ def z_scores(returns: DataFrame, series_small: bool) -> DataFrame:
 
 def outlier_counts(
     bars: DataFrame,
-    order: str = "seq",
+    order: str = "ts",
     fill: bool = True,
     limit: float = OUTLIER_Z,
     series_small: bool | None = None,

@@ -39,6 +39,7 @@ def clean_landing(
         "seq",
         "has_columns",
         F.when(~F.col("has_header"), "no_header")
+        .when(~F.col("has_columns"), "missing_column")
         .when(F.col("before_header"), "before_header")
         .when(line_holds_ticker(F.col("line"), F.col("cells"), F.col(TICKER), banner_mode), "banner")
         .when(F.col("key_text").isNull(), "no_key")
@@ -68,6 +69,17 @@ def rejects_of(cleaned: DataFrame) -> DataFrame:
     return cleaned.where(F.col("outcome") == REJECTED).select("source_file", "reason", "line")
 
 
+def cleaned_fetch(answers: DataFrame) -> DataFrame:
+    """The answers of a fetch in the form of cleaned lines: bars, and one reject per failed plan row."""
+    reason = (
+        F.when(F.col("error").isNotNull(), "fetch_error").when(F.col(TS).isNull(), "bad_time").alias("reason")
+    )
+    outcome = F.when(F.col("reason").isNull(), BAR).otherwise(REJECTED)
+    name = F.concat(F.col(TICKER), F.lit("_"), F.col(TIMEFRAME), F.lit(".csv")).alias("source_file")
+    rows = answers.select(*BAR_COLUMNS, name, F.col("error").alias("line"), F.lit(True).alias("has_columns"), reason)
+    return rows.withColumn("outcome", outcome)
+
+
 def missing_of(cleaned: DataFrame) -> DataFrame:
     """FLT-3: bars holding a missing value, with their file."""
     return rows_with_missing(cleaned.where(F.col("outcome") == BAR)).select("source_file", *BAR_COLUMNS)
@@ -75,9 +87,6 @@ def missing_of(cleaned: DataFrame) -> DataFrame:
 
 def file_errors(cleaned: DataFrame) -> DataFrame:
     """DQ-9 input: one row per file that lacks a header or a value column, or failed as a whole."""
-    reason = (
-        F.when(F.col("reason").isin("no_header", "file_failed"), F.col("reason"))
-        .when(~F.col("has_columns"), "missing_column")
-    )
+    reason = F.when(F.col("reason").isin("no_header", "file_failed", "missing_column", "fetch_error"), F.col("reason"))
     marked = cleaned.select("source_file", reason.alias("reason")).where("reason IS NOT NULL")
     return marked.groupBy("source_file").agg(F.min("reason").alias("reason"))

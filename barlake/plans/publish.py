@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from barlake.functions.parsing import drop_zone
 from barlake.functions.timing import as_of_literal
@@ -18,7 +19,7 @@ from barlake.operators.filters import (
     newer_than,
     split_publish_form,
 )
-from barlake.operators.keyed import skip_conflicts
+from barlake.operators.keyed import one_per_key, skip_conflicts, with_time
 from barlake.schema import TS
 from barlake.sources.lake import latest_time, path_exists
 
@@ -34,15 +35,23 @@ class Target:
     def at(cls, path: str, format: str = "parquet") -> Target:
         return cls(format, {"path": path})
 
-    def read(self, spark: SparkSession) -> DataFrame | None:
-        """The published rows, or None while a file target does not exist yet."""
+    def read(self, spark: SparkSession, schema: StructType | None = None) -> DataFrame | None:
+        """The published rows, or None while a file target does not exist yet.
+
+        With ``schema`` nothing is inferred, so a file target may be an empty folder.
+        """
         path = self.options.get("path")
         if path and not path_exists(spark, path):
             return None
-        return spark.read.format(self.format).options(**self.options).load()
+        reader = spark.read.schema(schema) if path and schema is not None else spark.read
+        return reader.format(self.format).options(**self.options).load()
 
-    def append(self, rows: DataFrame) -> None:
-        rows.write.format(self.format).options(**self.options).mode("append").save()
+    def append(self, rows: DataFrame) -> int:
+        """Add the rows, counting them on the way."""
+        written = Observation()
+        counted = rows.observe(written, F.count(F.lit(1)).alias("n"))
+        counted.write.format(self.format).options(**self.options).mode("append").save()
+        return written.get["n"]
 
 
 def new_for_target(
@@ -72,16 +81,32 @@ def _publish(
     """Append the new rows; False if there was no target or nothing new (FLT-4)."""
     if target is None:
         return False
-    published = target.read(bars.sparkSession)
+    published = target.read(bars.sparkSession, form(bars).schema)
     rows = new_for_target(bars, published, time_column, scope)
     if skip_known:
-        known = keys_of_published(published) if published is not None else rows.limit(0)
-        rows = skip_conflicts(rows, known)
-    rows = form(rows)
-    if rows.isEmpty():
-        return False
-    target.append(rows)
-    return True
+        rows = unpublished(rows, published, scope)
+    return target.append(form(rows)) > 0
+
+
+def unpublished(rows: DataFrame, published: DataFrame | None, scope: str) -> DataFrame:
+    """First row of each key, none that is published.
+
+    Behind the mark of the whole table nothing can be published yet, so its keys are not read.
+    """
+    if published is None or scope == "global":
+        return one_per_key(with_time(rows))
+    return skip_conflicts(rows, keys_of_published(published))
+
+
+def split_increment(bars: DataFrame, published: DataFrame) -> DataFrame:
+    """PIP-3, lazily: what one half of a split publish would append to a table of its form."""
+    return split_publish_form(newer_than(bars, keys_of_published(published)))
+
+
+def combined_increment(bars: DataFrame, published: DataFrame, scope: str = "global") -> DataFrame:
+    """PIP-4, lazily: what a combined publish would append."""
+    fresh = newer_than(bars, keys_of_published(published), scope)
+    return combined_publish_form(unpublished(fresh, published, scope))
 
 
 def publish_split(

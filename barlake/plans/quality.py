@@ -52,7 +52,7 @@ class QualityTables(NamedTuple):
 def quality_counters(
     bars: DataFrame,
     expected: DataFrame | None = None,
-    order: str = "seq",
+    order: str = "ts",
     fill: bool = True,
     series_small: bool | None = None,
 ) -> DataFrame:
@@ -144,7 +144,7 @@ def quality_run(
     bars: DataFrame,
     expected: DataFrame | None = None,
     file_errors: DataFrame | None = None,
-    order: str = "seq",
+    order: str = "ts",
     fill: bool = True,
     series_small: bool | None = None,
 ) -> QualityTables:

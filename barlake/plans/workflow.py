@@ -5,15 +5,19 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from barlake.functions.parsing import file_stem, ticker_of, timeframe_of
 from barlake.operators.filters import daily, intraday
 from barlake.operators.freshness import daily_freshness, intraday_freshness, needs_refresh, stale_part_of
-from barlake.plans.clean import bars_of, clean_landing, file_errors
+from barlake.plans.clean import bars_of, clean_landing, cleaned_fetch, file_errors
 from barlake.plans.publish import Target, publish_combined, publish_split
-from barlake.schema import TICKER
+from barlake.schema import TICKER, TIMEFRAME
 from barlake.sinks.store import merge_into_master, read_raw, write_quality, write_raw
+from barlake.sources.fetch import FETCHED, Fetcher, fetch
 from barlake.sources.lake import read_bars, read_bars_or_empty
 from barlake.sources.landing import files_may_be_broadcast
 from barlake.sources.universe import fetch_plan
@@ -33,6 +37,10 @@ class Lake:
     def raw(self) -> str:
         return f"{self.base}/raw"
 
+    @property
+    def fetched(self) -> str:
+        return f"{self.base}/fetched"
+
     @property
     def delta(self) -> str:
         return f"{self.base}/delta"
@@ -54,17 +62,23 @@ class Switches:
 
 
 def refresh_plan(
-    lake: Lake, tickers: DataFrame, as_of: str, only_stale: bool = False, expect_all: bool = False
+    lake: Lake,
+    tickers: DataFrame,
+    as_of: str,
+    only_stale: bool = False,
+    expect_all: bool = False,
+    unreadable: DataFrame | None = None,
 ) -> DataFrame:
     """FRS-3: what to fetch now. One stale daily series asks for all daily series, one stale intraday
-    series for all intraday ones; with ``only_stale`` just the stale series are fetched."""
+    series for all intraday ones; with ``only_stale`` just the stale series are fetched. Series in
+    ``unreadable`` (ticker, timeframe) are stale whatever is stored."""
     spark = tickers.sparkSession
     tickers = tickers.select(TICKER).distinct()
     bars = read_bars_or_empty(spark, lake.master)
     plan = fetch_plan(tickers)
     families = [
-        (daily(plan), daily_freshness(bars, tickers, as_of)),
-        (intraday(plan), intraday_freshness(bars, as_of, tickers=tickers, expect_all=expect_all)),
+        (daily(plan), daily_freshness(bars, tickers, as_of, unreadable=unreadable)),
+        (intraday(plan), intraday_freshness(bars, as_of, tickers=tickers, expect_all=expect_all, unreadable=unreadable)),
     ]
     chosen = []
     for part, freshness in families:
@@ -80,14 +94,36 @@ def refresh_plan(
 def collect_landing(lines: DataFrame, lake: Lake, batch_id: str, strict: bool = False) -> None:
     """Clean the lines of a landing scan into the raw store and merge them into the master."""
     files_fit = files_may_be_broadcast(lines)
-    write_raw(clean_landing(lines, strict=strict, files_fit=files_fit), lake.raw)
-    merge_into_master(bars_of(read_raw(lines.sparkSession, lake.raw)), lake.master, lake.delta, batch_id)
+    write_raw(clean_landing(lines, strict=strict, files_fit=files_fit), lake.raw, batch_id)
+    merge_into_master(bars_of(read_raw(lines.sparkSession, lake.raw, batch_id)), lake.master, lake.delta, batch_id)
+
+
+def collect_fetch(plan: DataFrame, fetcher: Fetcher, lake: Lake, batch_id: str) -> None:
+    """SRC-4, SNK-1: fetch, clean and merge. Each plan row is asked for once: the answers are written
+    down first, with their errors, and everything else is derived from what was written."""
+    spark = plan.sparkSession
+    path = f"{lake.fetched}/{quote(batch_id, safe='')}".replace("%", "_")
+    fetch(plan, fetcher).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    answers = spark.read.schema(FETCHED).parquet(path)
+    write_raw(cleaned_fetch(answers), lake.raw, batch_id)
+    merge_into_master(bars_of(read_raw(spark, lake.raw, batch_id)), lake.master, lake.delta, batch_id)
+
+
+def unreadable_series(spark: SparkSession, lake: Lake, batch_id: str) -> DataFrame:
+    """FRS-1, FRS-2: series whose file or answer in a batch could not be used as a whole."""
+    stem = file_stem(F.col("source_file"))
+    errors = file_errors(read_raw(spark, lake.raw, batch_id)).select(ticker_of(stem).alias(TICKER), timeframe_of(stem).alias(TIMEFRAME))
+    return errors.distinct()
 
 
-def check_master(spark: SparkSession, lake: Lake, run_id: str) -> None:
-    """Quality run over the master; time order is the stored order of a merged master."""
+def check_master(spark: SparkSession, lake: Lake, run_id: str, expected: DataFrame | None = None) -> None:
+    """Quality run over the master; time order is the stored order of a merged master.
+
+    ``expected`` names series that should hold bars; the errors are those of all batches.
+    """
     errors = file_errors(read_raw(spark, lake.raw))
-    write_quality(read_bars(spark, lake.master), lake.reports, run_id, file_errors=errors, order="ts")
+    bars = read_bars_or_empty(spark, lake.master)
+    write_quality(bars, lake.reports, run_id, expected=expected, file_errors=errors, order="ts")
 
 
 def run_steps(
@@ -121,7 +157,7 @@ def run_steps(
         except Exception as problem:  # noqa: BLE001 - the outcome table is the error report
             log.exception("step %s failed", name)
             aborted = name == STEPS[0]
-            outcomes.append((name, not aborted, f"failed: {type(problem).__name__}: {problem}"[:2000]))
+            outcomes.append((name, not aborted, f"failed: {type(problem).__name__}: {problem}"))
     return spark.createDataFrame(outcomes, "step string, ok boolean, detail string")
 
 
@@ -133,14 +169,57 @@ def run_lake(
     intraday_target: Target | None = None,
     combined_target: Target | None = None,
     switches: Switches = Switches(),
+    expected: DataFrame | None = None,
 ) -> DataFrame:
     """The standard run over landing lines."""
-    spark = lines.sparkSession
+    collect = lambda: collect_landing(lines, lake, batch_id)
+    targets = (daily_target, intraday_target, combined_target)
+    return _run(lines.sparkSession, collect, lake, batch_id, *targets, switches=switches, expected=expected)
+
+
+def refresh_lake(
+    tickers: DataFrame,
+    fetcher: Fetcher,
+    lake: Lake,
+    batch_id: str,
+    as_of: str,
+    daily_target: Target | None = None,
+    intraday_target: Target | None = None,
+    combined_target: Target | None = None,
+    switches: Switches = Switches(),
+    only_stale: bool = False,
+    expect_all: bool = False,
+    previous_batch: str | None = None,
+) -> DataFrame:
+    """PIP-6 from the start: what is stale, or was unreadable in the previous batch, is fetched, cleaned
+    and merged; then the checks and the publishing."""
+    spark = tickers.sparkSession
+
+    def collect() -> None:
+        broken = unreadable_series(spark, lake, previous_batch) if previous_batch else None
+        plan = refresh_plan(lake, tickers, as_of, only_stale, expect_all, broken)
+        collect_fetch(plan, fetcher, lake, batch_id)
+
+    targets = (daily_target, intraday_target, combined_target)
+    return _run(spark, collect, lake, batch_id, *targets, switches=switches)
+
+
+def _run(
+    spark: SparkSession,
+    collect: Callable[[], object],
+    lake: Lake,
+    batch_id: str,
+    daily_target: Target | None,
+    intraday_target: Target | None,
+    combined_target: Target | None,
+    switches: Switches,
+    expected: DataFrame | None = None,
+) -> DataFrame:
     master = lambda: read_bars(spark, lake.master)
     return run_steps(
         spark,
-        collect=lambda: collect_landing(lines, lake, batch_id),
-        check=lambda: check_master(spark, lake, batch_id),
+        collect=collect,
+        check=lambda: check_master(spark, lake, batch_id, expected),
         split_publish=lambda: publish_split(master(), daily_target, intraday_target),
         combined_publish=lambda: publish_combined(master(), combined_target),
         switches=switches,

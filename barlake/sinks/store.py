@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barlake.operators.filters import daily, in_timeframes, intraday
 from barlake.operators.keyed import with_time
@@ -13,6 +14,15 @@ from barlake.schema import BAR_COLUMNS, BARS, DAILY_KEY, INTRADAY_KEY, TICKER, T
 from barlake.sources.lake import empty_bars, path_exists, read_bars
 
 LANDING_FILE = "landing_file"
+BATCH = "batch_id"
+RAW = T.StructType(
+    [
+        *[T.StructField(f.name, f.dataType) for f in BARS.fields],
+        *[T.StructField(c, T.StringType()) for c in ("source_file", "line")],
+        T.StructField("has_columns", T.BooleanType()),
+        *[T.StructField(c, T.StringType()) for c in ("reason", "outcome")],
+    ]
+)
 
 
 def write_fetched(bars: DataFrame, path: str) -> None:
@@ -32,29 +42,46 @@ def read_fetched(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.col("value").alias("line"), F.col(LANDING_FILE).cast("string").alias("source_file"))
 
 
-def write_raw(cleaned: DataFrame, path: str) -> None:
-    """SNK-2: the last cleaned fetch, replacing the one before; outcomes in separate folders."""
-    out = cleaned.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    out.partitionBy("outcome").parquet(path)
+def _write_batch(rows: DataFrame, path: str, batch_id: str) -> int:
+    """Write rows as one batch of a store and return their number.
+
+    Repeating a batch replaces its rows; a batch without rows writes nothing. Spark escapes the id in
+    the folder's name, so readers filter on the column and never build the name themselves.
+    """
+    if not batch_id:
+        raise ValueError("a batch needs an id")
+    written = Observation()
+    counted = rows.withColumn(BATCH, F.lit(batch_id)).observe(written, F.count(F.lit(1)).alias("n"))
+    out = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out.partitionBy(BATCH).parquet(path)
+    return written.get["n"]
+
+
+def _read_batch(spark: SparkSession, path: str, schema: T.StructType, batch_id: str | None) -> DataFrame:
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())])).parquet(path)
+    return (rows if batch_id is None else rows.where(F.col(BATCH) == batch_id)).drop(BATCH)
+
+
+def write_raw(cleaned: DataFrame, path: str, batch_id: str) -> int:
+    """SNK-2: the cleaned lines of one fetch, replacing those of the same batch."""
+    return _write_batch(cleaned, path, batch_id)
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """The raw store; filters on ``outcome`` prune folders."""
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in BARS.fields)
-    schema = f"{fields}, source_file string, line string, has_columns boolean, reason string, outcome string"
-    return spark.read.schema(schema).parquet(path)
+def read_raw(spark: SparkSession, path: str, batch_id: str | None = None) -> DataFrame:
+    """The raw store: one batch, for which only its folder is read, or all."""
+    return _read_batch(spark, path, RAW, batch_id)
 
 
-def write_delta(delta: DataFrame, path: str, batch_id: str) -> None:
+def write_delta(delta: DataFrame, path: str, batch_id: str) -> int:
     """SNK-3: the delta of one batch. Repeating a batch replaces its own folder, an empty delta writes nothing."""
-    out = delta.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-    out.option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+    return _write_batch(delta.select(*BAR_COLUMNS), path, batch_id)
 
 
 def read_delta(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
     """Bars of one delta; none if the batch added nothing."""
-    folder = f"{path}/batch_id={batch_id}"
-    return spark.read.schema(BARS).parquet(folder) if path_exists(spark, folder) else empty_bars(spark)
+    return _read_batch(spark, path, BARS, batch_id)
 
 
 def in_storage_order(bars: DataFrame) -> DataFrame:
@@ -93,8 +120,10 @@ def merge_into_master(batch: DataFrame, master_path: str, delta_path: str, batch
         master = in_timeframes(master, span["sizes"])
     else:
         master = empty_bars(spark)
-    write_delta(delta_of(batch, master), delta_path, batch_id)
+    written = write_delta(delta_of(batch, master), delta_path, batch_id)
     delta = read_delta(spark, delta_path, batch_id)
+    if written and (found := delta.count()) != written:
+        raise RuntimeError(f"delta {batch_id!r}: {written} rows were written, {found} are read back")
     # A repeated batch finds its old delta in place; the guard keeps the append idempotent.
     append_bars(delta_of(delta, master), master_path)
 

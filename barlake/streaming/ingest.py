@@ -39,11 +39,9 @@ def stream_landing(
     )
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        raw = f"{lake.raw}/stream_batch={batch_id}"
-        write_raw(clean_landing(batch, strict=strict, files_fit=files_fit), raw)
-        merge_into_master(
-            bars_of(read_raw(batch.sparkSession, raw)), lake.master, lake.delta, f"stream-{batch_id}"
-        )
+        name = f"stream-{batch_id}"
+        write_raw(clean_landing(batch, strict=strict, files_fit=files_fit), lake.raw, name)
+        merge_into_master(bars_of(read_raw(batch.sparkSession, lake.raw, name)), lake.master, lake.delta, name)
 
     return (
         lines.writeStream.foreachBatch(merge)

@@ -51,11 +51,11 @@ def test_raw_store_keeps_only_the_last_fetch(spark, tmp_path):
     (landing / "A_1d.csv").write_text("Date,Open,High,Low,Close,Volume\n2024-01-01,1,1,1,1,1\nbad,1,1,1,1,1\n")
     from barlake.sources.landing import read_landing
 
-    store.write_raw(clean.clean_landing(read_landing(spark, str(landing))), raw)
+    store.write_raw(clean.clean_landing(read_landing(spark, str(landing))), raw, "b")
     assert clean.rejects_of(store.read_raw(spark, raw)).count() == 1
     (landing / "A_1d.csv").write_text("Date,Open,High,Low,Close,Volume\n2024-01-02,1,1,1,1,1\n")
-    store.write_raw(clean.clean_landing(read_landing(spark, str(landing))), raw)
-    again = store.read_raw(spark, raw)
+    store.write_raw(clean.clean_landing(read_landing(spark, str(landing))), raw, "b")
+    again = store.read_raw(spark, raw, "b")
     assert clean.rejects_of(again).count() == 0
     assert [str(r["ts"]) for r in clean.bars_of(again).collect()] == ["2024-01-02 00:00:00"]
 
@@ -78,6 +78,16 @@ def test_master_grows_once_per_batch(spark, bars_of_rows, tmp_path):
     assert store.read_delta(spark, delta, "b9").count() == 0
 
 
+@pytest.mark.parametrize("name", ["2024-06-01T10:00:00", "a/b", "x=1%", "né e?"])
+def test_any_batch_id_is_read_back(spark, bars_of_rows, tmp_path, name):
+    master, delta = str(tmp_path / "master"), str(tmp_path / "delta")
+    batch = bars_of_rows([bar("A", "1d", "2024-01-01", 1.0, 0), bar("B", "1d", "2024-01-01", 2.0, 1)])
+    store.merge_into_master(batch, master, delta, name)
+    assert lake.read_bars(spark, master).count() == 2 == store.read_delta(spark, delta, name).count()
+    with pytest.raises(ValueError):
+        store.write_delta(batch, delta, "")
+
+
 def test_append_lost_after_the_delta_is_repeated(spark, bars_of_rows, tmp_path):
     master, delta = str(tmp_path / "master"), str(tmp_path / "delta")
     batch = bars_of_rows([bar("A", "1d", "2024-01-01", 1.0, 0)])

@@ -26,6 +26,11 @@ def test_to_number(spark, text, number):
         ("2025-10-01 09:30:00", datetime(2025, 10, 1, 9, 30)),
         ("2025-10-01T09:30:00Z", datetime(2025, 10, 1, 9, 30)),
         ("2025-10-01", datetime(2025, 10, 1)),
+        ("10/01/2025 09:30", datetime(2025, 10, 1, 9, 30)),
+        ("Oct 1, 2025", datetime(2025, 10, 1)),
+        ("20251001", datetime(2025, 10, 1)),
+        ("20251-10-01", None),
+        ("13/45/2025", None),
         ("nonsense", None),
         ("10:30", None),
         ("", None),

@@ -54,6 +54,12 @@ def test_combined_publish_ignores_conflicts_and_is_idempotent(spark, bars, bars_
     assert not publish_combined(bars_of_rows([bar("A", "1d", "2024-01-05", 6.0, 0)]), target)
 
 
+def test_empty_folder_is_a_target(spark, bars, tmp_path):
+    (tmp_path / "all").mkdir()
+    target = Target.at(f"{tmp_path}/all")
+    assert publish_combined(bars, target) and target.read(spark).count() == 3
+
+
 def test_orc_target(spark, bars, tmp_path):
     target = Target.at(f"{tmp_path}/orc", "orc")
     assert publish_combined(bars, target) and target.read(spark).count() == 3

@@ -73,6 +73,13 @@ def test_constant_series_has_no_outliers(bars_of_rows):
     assert [r["n_outliers"] for r in returns.outlier_counts(bars_of_rows(rows)).collect()] == [0]
 
 
+def test_deliveries_with_their_own_seq_are_ordered_by_time(bars_of_rows):
+    days = [("2024-01-01", 1.0, 0), ("2024-01-02", 2.0, 1), ("2024-01-03", 10.0, 0), ("2024-01-04", 20.0, 1)]
+    bars = bars_of_rows([bar("A", "1d", day, close, seq) for day, close, seq in days])
+    got = sorted(r["ret"] for r in returns.simple_returns(bars).collect())
+    assert got == pytest.approx([1.0, 1.0, 4.0])
+
+
 def test_unknown_order_is_refused(bars_of_rows):
     with pytest.raises(ValueError):
         returns.simple_returns(bars_of_rows([]), order="close")

@@ -83,6 +83,70 @@ def test_refresh_plan(spark, tmp_path):
     assert workflow.refresh_plan(lake, two, "2024-01-01 20:00:00").count() == 0
 
 
+def test_odd_batch_id_and_far_year(spark, tmp_path):
+    write_landing(tmp_path / "in", 1)
+    (tmp_path / "in" / "FAR_1d.csv").write_text("Date,Close,High,Low,Open,Volume\n20251-10-01,1,1,1,1,1\n2024-01-01,1,1,1,1,1\n")
+    (tmp_path / "in" / "LESS_1d.csv").write_text("Date,Close,High,Low,Open\n2024-01-01,1,1,1,1\n")
+    lake = workflow.Lake(f"{tmp_path}/lake")
+    steps = workflow.run_lake(read_landing(spark, f"{tmp_path}/in"), lake, "2024-06-01T10:00:00")
+    assert [r["ok"] for r in steps.collect()] == [True] * 4
+    assert read_bars(spark, lake.master).count() == 34
+    assert read_bars(spark, lake.master).where("ticker = 'LESS'").count() == 0
+    base = f"{lake.reports}/run_id=2024-06-01T10:00:00"
+    stats = spark.read.parquet(f"{base}/stats").first()
+    assert stats["total_files"] == 8  # seven series, and the file that lacks a column
+    errors = spark.read.parquet(f"{base}/issues").where("type = 'processing_error'").collect()
+    assert [(r["ticker"], r["message"]) for r in errors] == [("LESS_1d", "missing_column")]
+
+
+def test_refresh_asks_once_per_plan_row(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def fetcher(ticker, timeframe, period):
+        import uuid
+
+        import pandas as pd
+
+        (calls / f"{ticker}_{timeframe}_{uuid.uuid4().hex}").touch()
+        if ticker == "BAD":
+            raise TimeoutError("no answer")
+        return pd.DataFrame({"t": ["2024-01-02"], "Close": [1.0], "High": 2, "Low": 1, "Open": 1, "Volume": 5})
+
+    lake = workflow.Lake(f"{tmp_path}/lake")
+    target = Target.at(f"{tmp_path}/all")
+    (tmp_path / "all").mkdir()
+    tickers = spark.createDataFrame([("A",), ("BAD",)], "ticker string")
+    switches = workflow.Switches(combined_publish=True)
+    run = lambda batch, **more: workflow.refresh_lake(
+        tickers, fetcher, lake, batch, "2024-01-03 00:00:00", combined_target=target, switches=switches, **more
+    )
+    assert outcome(run("r/1")) == [
+        ("data_collection", True, "done"), ("quality_checks", True, "done"),
+        ("split_publish", True, "disabled"), ("combined_publish", True, "done"),
+    ]
+    assert sorted(p.name.rsplit("_", 1)[0] for p in calls.iterdir()) == ["A_1d", "BAD_1d"]
+    assert read_bars(spark, lake.master).count() == 1 == target.read(spark).count()
+    issues = spark.read.parquet(f"{lake.reports}/run_id=r_1/issues") if (tmp_path / "lake/quality_reports/run_id=r_1").exists() else None
+    assert issues is None or issues.where("type = 'processing_error'").count() == 1
+    broken = workflow.unreadable_series(spark, lake, "r/1")
+    assert [tuple(r) for r in broken.collect()] == [("BAD", "1d")]
+    plan = workflow.refresh_plan(lake, tickers, "2024-01-03 00:00:00", only_stale=True, unreadable=broken)
+    assert as_sorted(plan, "ticker", "timeframe") == [("BAD", "1d")]
+
+
+def test_stream_then_batch_then_report(spark, tmp_path):
+    write_landing(tmp_path / "in", 1, 1)
+    lake = workflow.Lake(f"{tmp_path}/lake")
+    query = stream_landing(spark, f"{tmp_path}/in", lake, f"{tmp_path}/check")
+    query.awaitTermination(180)
+    write_landing(tmp_path / "in2", 10, 1)
+    steps = workflow.run_lake(read_landing(spark, f"{tmp_path}/in2"), lake, "b1")
+    assert [(r["ok"], r["detail"]) for r in steps.collect()][:2] == [(True, "done")] * 2
+    assert read_bars(spark, lake.master).count() == 22
+    assert spark.read.parquet(f"{lake.reports}/run_id=b1/results").count() == 2
+
+
 @pytest.mark.parametrize("files_per_batch", [2, 100])
 def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_path, files_per_batch):
     streamed, batched = workflow.Lake(f"{tmp_path}/s"), workflow.Lake(f"{tmp_path}/b")
