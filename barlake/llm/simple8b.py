@@ -15,6 +15,7 @@ Null text counts as empty; an empty document has its end id only. An empty table
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -22,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barlake.llm.scratch import arrow_schema, find_package, shared_folder, stored
@@ -257,6 +258,12 @@ def read_ids(files: DataFrame, folder: str) -> DataFrame:
 
 def encoded_and_read(docs: DataFrame) -> DataFrame:
     """Write the documents' ids to a new folder beside the checkpoints and read them back."""
-    folder = shared_folder(docs.sparkSession, "ids")
-    folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+    folder = _uri(docs.sparkSession, shared_folder(docs.sparkSession, "ids"))
     return read_ids(write_ids(docs, folder), folder)
+
+
+def _uri(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system, as Spark itself would complete it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return whole.replace("file:/", "file:///", 1) if re.match("file:/[^/]", whole) else whole
