@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barlake.operators.lookup import attach, fits_broadcast
+from barlake.operators.lookup import fits_broadcast
 from barlake.schema import BAR_COLUMNS, KEY, SEQ, SERIES, TS, VALUES
 
 
@@ -35,7 +35,7 @@ def _picked(keep: str) -> list[Column]:
 
 
 def batch_fits(batch: DataFrame) -> bool:
-    """True if the keys of the batch may be broadcast: a counted bound, cheap because it stops early."""
+    """True if the keys of the batch may be broadcast: a counted bound."""
     return fits_broadcast(batch.select(*KEY))
 
 
@@ -83,11 +83,15 @@ def new_keyed_rows(
 
 
 def new_rows(batch: DataFrame, master: DataFrame, batch_small: bool | None = None) -> DataFrame:
-    """JOIN-1: every batch row, copies included, whose key is absent from the master."""
+    """JOIN-1: every batch row, copies included, whose key is absent from the master.
+
+    Known keys are unique, so a large batch meets them in a plain join, and a key with many copies is
+    left to the adaptive splitting of its side.
+    """
     if batch_small is None:
         batch_small = batch_fits(batch)
     known = known_keys(batch, master, batch_small)
-    return attach(batch, known, KEY, "left_anti", small_fits=batch_small)
+    return batch.join(F.broadcast(known) if batch_small else known, KEY, "left_anti")
 
 
 def skip_conflicts(batch: DataFrame, target: DataFrame) -> DataFrame:

@@ -13,9 +13,9 @@ SALTS = 32
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    """True if ``df`` has at most ``limit`` rows. Stops counting one row beyond the limit."""
+    """True if ``df`` has at most ``limit`` rows. Counted whole: each task sends one number."""
     limit = BROADCAST_ROWS if limit is None else limit
-    return df.limit(limit + 1).count() <= limit
+    return df.count() <= limit
 
 
 def series_fit(bars: DataFrame, limit: int | None = None) -> bool:

@@ -21,6 +21,7 @@ from barlake.operators.returns import outlier_counts
 from barlake.operators.steps import step_counts
 from barlake.schema import SERIES, TICKER, TIMEFRAME, TS, VALUES
 
+# Names of the checks.
 ISSUE_TYPES = [
     "empty_data",
     "missing_values",

@@ -35,4 +35,5 @@ OUTLIER_Z = 3.0
 DAILY_GAP_DAYS = 3
 GAP_FACTOR = 10
 
+# Time columns of landing files.
 DAILY_KEY, INTRADAY_KEY = "Date", "Datetime"

@@ -47,6 +47,6 @@ def read_bars_or_empty(spark: SparkSession, path: str) -> DataFrame:
 def latest_time(target: DataFrame, column: str = TS) -> DataFrame:
     """SRC-12, AGG-2: one row with the latest time of a table, NULL when it is empty.
 
-    Parquet and JDBC sources answer this from their own statistics or engine.
+    Only the time column is read.
     """
     return target.agg(F.max(column).alias("latest"))
