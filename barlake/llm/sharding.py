@@ -31,12 +31,13 @@ def md5_bits(text: Column) -> Column:
     return F.lpad(F.bin(number), KEY_BITS, "0")
 
 
-def sized(docs: DataFrame, key: str, text: str) -> DataFrame:
+def sized(docs: DataFrame, key: str, text: str, row: str | None = None) -> DataFrame:
     """(row, address, n_bytes) of each row of ``docs``; the row's number is kept with its key."""
+    number = F.col(row) if row else F.monotonically_increasing_id()
     own = F.coalesce(F.col(key).cast("string"), F.lit(""))
     numbered = docs.select(
         F.col(key).alias("key"), own.alias("own"), F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long").alias("n_bytes"),
-        F.monotonically_increasing_id().alias("row"),
+        number.alias("row"),
     )
     address = F.concat(md5_bits(F.col("own")), md5_bits(F.concat(F.lit("row "), F.col("row").cast("string"))))
     # Row numbers hold for one evaluation only, so they are written down.
@@ -68,7 +69,13 @@ def assign(docs: DataFrame, limit: int = LIMIT, key: str = "doc_id", text: str =
     The rows' addresses, not their texts, are what moves. A cell that holds a third of all rows is
     joined as one row with the rows' side split at will.
     """
-    rows, depth, done = sized(docs, key, text), 0, []
+    out = placed_rows(sized(docs, key, text), limit)
+    return out.select(F.col("key").alias(key), "n_bytes", "shard", F.length("shard").alias("depth"))
+
+
+def placed_rows(rows: DataFrame, limit: int) -> DataFrame:
+    """(key, row, n_bytes, address, shard) of all rows of ``sized``."""
+    depth, done = 0, []
     while True:
         cell = F.substring("address", 1, depth + STEP)
         found = rows.withColumn("cell", cell).join(stored(leaves(rows, depth, limit), "leaves"), "cell", "left")
@@ -82,7 +89,7 @@ def assign(docs: DataFrame, limit: int = LIMIT, key: str = "doc_id", text: str =
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out.select(F.col("key").alias(key), "n_bytes", "shard", F.length("shard").alias("depth"))
+    return out
 
 
 def directory(assigned: DataFrame) -> DataFrame:
@@ -91,15 +98,21 @@ def directory(assigned: DataFrame) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT, key: str = "doc_id", text: str = "text") -> None:
-    """Write the rows as Parquet, one folder per shard; ``key`` must be unique and not null.
+    """Write the rows as Parquet, one folder per shard; null, repeated and hot keys are rows like others.
 
     The folders' column is ``shard``, with underscores behind if the rows have one of that name.
     """
     name = "shard"
     while name in docs.columns:
         name += "_"
-    shards = assign(docs, limit, key, text).select(F.col(key).alias(f"{name}_key"), F.col("shard").alias(name))
-    placed = docs.join(shards, docs[key] == shards[f"{name}_key"]).drop(f"{name}_key")
+    # Rows meet their shards by number; it is written with the row, as it holds for one evaluation only.
+    number = f"{name}_row"
+    while number in docs.columns:
+        number += "_"
+    numbered = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    found = placed_rows(sized(numbered, key, text, number), limit)
+    shards = found.select(F.col("row").alias(number), F.col("shard").alias(name))
+    placed = numbered.join(shards, number).drop(number)
     placed.repartition(name).write.partitionBy(name).parquet(path)
 
 
