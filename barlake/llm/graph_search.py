@@ -8,7 +8,7 @@ compared with each other, as a neighbour's neighbour is likely a neighbour; each
 new neighbour that beats a list's last entry goes to that list. A query walks the graph: it expands
 its BEAM best nodes that are not yet expanded, keeps the POOL best it has met, and ends when all of
 these are expanded. Every vector is in the index. The nodes found are scored again in double
-precision on the original vectors.
+precision on the original vectors, all of the POOL.
 
 Take no part: null ids; null, empty or zero vectors; vectors with null or non-finite components; and
 those not of the table's commonest length. Repeated ids count once, with the smallest of their
@@ -38,7 +38,6 @@ POOL = 320
 BEAM = 64
 ENTRIES = 8
 TOP = 20
-SPARE = 12
 LIST_ROW = "node long, ids array<long>, sims array<float>, fresh array<boolean>"
 
 
@@ -68,15 +67,19 @@ def nodes_of(rows: DataFrame, ids_kept: int) -> DataFrame:
 
 
 def packed(nodes: DataFrame) -> DataFrame:
-    """(node, half): the vector over the largest norm, with the evening component, as 16-bit floats."""
+    """(node, half): the vector over the largest norm, and what its evening component lacks to 1, as 32-bit floats.
+
+    That is kept, not the component, so that small vectors beside a large one lose no digits.
+    """
     square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
     largest = nodes.agg(F.max(square)).first()[0] or 1.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = matrix(batch.column(1)) / np.sqrt(largest)
-            rest = np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1, keepdims=True)))
-            half = np.concatenate([x, rest], axis=1).astype(np.float16)
+            square = (x * x).sum(axis=1, keepdims=True)
+            lack = square / (1 + np.sqrt(np.maximum(0, 1 - square)))
+            half = np.concatenate([x, lack], axis=1).astype(np.float32)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([h.tobytes() for h in half])], names=["node", "half"])
 
     return nodes.select("node", "vector").mapInArrow(run, "node long, half binary")
@@ -89,7 +92,13 @@ def matrix(column: pa.ListArray) -> np.ndarray:
 
 def halves(column: pa.Array) -> np.ndarray:
     data = b"".join(column.to_pylist())
-    return np.frombuffer(data, np.float16).reshape(len(column), -1).astype(np.float32)
+    return np.frombuffer(data, np.float32).reshape(len(column), -1)
+
+
+def likeness(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Inner products of evened vectors, less 1."""
+    a, b = x[:, -1:], y[:, -1]
+    return x[:, :-1] @ y[:, :-1].T - (a + b - a * b)
 
 
 def list_rows(schema: pa.Schema, *columns) -> pa.RecordBatch:
@@ -117,7 +126,7 @@ def chunk_lists(vectors: DataFrame, seed: int) -> DataFrame:
         for ids, x in chunks(batches):
             k = min(NEIGHBOURS, len(ids) - 1)
             for at in range(0, len(ids) if k else 0, 512):
-                sims = x[at : at + 512] @ x.T
+                sims = likeness(x[at : at + 512], x)
                 rows = np.arange(len(sims))
                 sims[rows, at + rows] = -np.inf
                 best = np.argpartition(-sims, k - 1, axis=1)[:, :k]
@@ -188,8 +197,8 @@ def descend(graph: DataFrame, vectors: DataFrame, salt: int) -> DataFrame:
     back = back_links(graph, SAMPLE, salt).select("node", F.explode("back").alias("id")).withColumn("new", F.lit(True))
     own = graph.select("node", F.col("node").alias("id"), F.lit(False).alias("new"))
     members = chosen.unionByName(back).unionByName(own).groupBy("node", "id").agg(F.max("new").alias("new"))
-    last = graph.select(F.col("node").alias("id"), F.when(F.size("sims") >= NEIGHBOURS, F.array_min("sims")).otherwise(-2.0).alias("last"))
-    full = vectors.withColumnRenamed("node", "id").join(last, "id", "left").fillna(-2.0, ["last"])
+    last = graph.select(F.col("node").alias("id"), F.when(F.size("sims") >= NEIGHBOURS, F.array_min("sims")).otherwise(-3.0).alias("last"))
+    full = vectors.withColumnRenamed("node", "id").join(last, "id", "left").fillna(-3.0, ["last"])
     rows = members.join(full, "id").groupBy("node").agg(F.collect_list(F.struct("id", "new", "last", "half")).alias("m"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +208,7 @@ def descend(graph: DataFrame, vectors: DataFrame, salt: int) -> DataFrame:
                 m = batch.column(0)[i].values
                 ids, new, least = (np.asarray(m.field(c)) for c in range(3))
                 x = halves(m.field(3))
-                sims = x @ x.T
+                sims = likeness(x, x)
                 good = (new[:, None] | new[None, :]) & (sims > least[:, None])
                 np.fill_diagonal(good, False)
                 a, b = np.nonzero(good)
@@ -267,7 +276,7 @@ def search(queries: DataFrame, graph: DataFrame, vectors: DataFrame) -> DataFram
         for batch in batches:
             ids_out, sims_out = [], []
             for i in range(batch.num_rows):
-                q = np.frombuffer(batch.column(1)[i].as_py(), np.float16).astype(np.float32)
+                q = np.frombuffer(batch.column(1)[i].as_py(), np.float32)
                 sims = halves(batch.column(4)[i].values) @ q
                 better = sims > batch.column(2)[i].as_py()
                 ids_out.append(np.asarray(batch.column(3)[i].values)[better])
@@ -325,8 +334,7 @@ def nearest(table: DataFrame, is_query: Column, top: int = TOP) -> DataFrame:
     start = F.array_distinct(F.concat(F.array("node"), F.array(*map(F.lit, entries)).cast("array<long>")))
     queries = own.join(vectors, "node").select("query_id", flat(F.col("half")).alias("q"), "node", start.alias("entries"))
     found = search(queries, graph, vectors)
-    best = F.slice(F.transform(F.arrays_zip("ids", "sims"), lambda e: e["ids"]), 1, top + 1 + SPARE)
-    pairs = found.select("query_id", F.explode(best).alias("node"))
+    pairs = found.select("query_id", F.explode("ids").alias("node"))
     pairs = pairs.unionByName(queries.select("query_id", "node")).distinct()  # copies of the query's own vector
     exact = (
         pairs.join(nodes, "node")
@@ -342,4 +350,4 @@ def nearest(table: DataFrame, is_query: Column, top: int = TOP) -> DataFrame:
 
 def flat(half: Column) -> Column:
     """The packed vector with its last component set to 0."""
-    return F.concat(F.expr("substring(half, 1, length(half) - 2)"), F.lit(b"\0\0"))
+    return F.concat(F.expr("substring(half, 1, length(half) - 4)"), F.lit(b"\0\0\0\0"))
