@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barlake.llm import scratch
 from barlake.llm.scratch import arrow_schema, find_package, over_texts, stored
 
 NGRAM = 3
@@ -267,6 +268,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item; rows with a null doc_id are judged together."""
-    gone = stored(leaks(docs, benchmark).select(F.col("doc_id").alias("gone_id")).distinct(), "leaked")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+    """The documents that hold no benchmark item, each row judged by its own text."""
+    whole, number = scratch.numbered(docs)
+    found = leaks(whole.select(F.col(number).alias("doc_id"), "text"), benchmark)
+    gone = stored(found.select(F.col("doc_id").alias(number)).distinct(), "leaked")
+    return whole.join(gone, number, "left_anti").select(*docs.columns)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import sys
 import tempfile
 import uuid
@@ -18,10 +19,13 @@ _LOCAL: list[str] = []
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path in the folder all executors share: ``spark.checkpoint.dir``.
 
-    Where that is unset (one machine, as in tests) a temporary folder takes its place.
+    Where that is unset a temporary folder takes its place, but only where all executors are threads
+    of this machine; other machines would each see a folder of their own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         if not _LOCAL:
             _LOCAL.append(tempfile.mkdtemp(prefix="barlake-"))
         base = _LOCAL[0]
@@ -36,6 +40,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a number of their own, and that column's name.
+
+    Numbers hold for one evaluation only, so the rows are written down. They tell rows apart where
+    ids are null or repeated.
+    """
+    number = "row"
+    while number in docs.columns:
+        number += "_"
+    return stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered"), number
+
+
 def find_package(spark: SparkSession) -> None:
     """Let Python workers of a local session import this package from where the driver has it."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

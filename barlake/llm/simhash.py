@@ -28,13 +28,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.llm.components import components
-from barlake.llm.scratch import find_package, over_texts, stored
+from barlake.llm.scratch import find_package, numbered, over_texts, stored
+from barlake.operators.lookup import attach, fits_broadcast
 
 WORDS = 3
 SEED = 42
 DISTANCE = 2
 BITS = 64
 BUCKET = 32
+#: Rows of one fingerprint above which they are not gathered by it.
+CROWD = 256
 #: What a signature costs, in candidates.
 SIGNATURE_COST = 4.0
 _BLOCK = 1 << 16
@@ -221,24 +224,36 @@ def crowd_links(crowd: DataFrame, distance: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, distance: int = DISTANCE, words: int = WORDS) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per row of ``docs``."""
     marked = stored(fingerprints(docs, words), "fingerprints")
-    nodes = stored(marked.groupBy("bits").agg(F.min("doc_id").alias("least")), "nodes")
+    nodes = stored(marked.groupBy("bits").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "nodes")
     roots = components(links(nodes, distance))
     grouped = nodes.join(roots.withColumnRenamed("node", "bits"), "bits")
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     linked = grouped.join(least, "root").select("bits", "component_id")
     of_bits = nodes.join(linked, "bits", "left").select("bits", F.coalesce("component_id", "least").alias("component_id"))
     hexed = F.lower(F.lpad(F.hex("bits"), 16, "0"))
-    return marked.join(of_bits, "bits").select("doc_id", hexed.alias("fingerprint"), "component_id")
+    # Rows of crowded fingerprints stay where they are or are spread by salts; the others meet their node.
+    crowded = stored(nodes.where(F.col("n") > CROWD).select("bits").join(of_bits, "bits"), "crowded")
+    columns = ["doc_id", hexed.alias("fingerprint"), "component_id"]
+    fits = fits_broadcast(crowded)
+    if fits and crowded.isEmpty():
+        return marked.join(of_bits, "bits").select(*columns)
+    in_crowds = attach(marked, crowded, ["bits"], "inner", small_fits=fits)
+    others = attach(marked, crowded.select("bits"), ["bits"], "left_anti", small_fits=fits)
+    return in_crowds.select(*columns).unionByName(others.join(of_bits, "bits").select(*columns))
 
 
 def without_copies(docs: DataFrame, distance: int = DISTANCE, words: int = WORDS) -> DataFrame:
-    """The documents with one of each group: that of the smallest doc_id; null doc_ids all stay."""
-    groups = near_duplicates(docs, distance, words)
-    gone = groups.where("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    kept = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
-    repeated = groups.groupBy("doc_id").count().where("doc_id IS NOT NULL AND count > 1").select("doc_id")
-    if repeated.isEmpty():
-        return kept
-    again = repeated.withColumnRenamed("doc_id", "again_id")
-    once = kept.join(again, kept["doc_id"] == again["again_id"], "left_anti")
-    return once.unionByName(kept.join(again, kept["doc_id"] == again["again_id"], "left_semi").dropDuplicates(["doc_id"]))
+    """The documents with one row of each group: that of the smallest doc_id; null ids come last.
+
+    Rows are told apart by a stored number, not by doc_id, so null and repeated ids lose no other text.
+    """
+    whole, number = numbered(docs)
+    rows = whole.select(F.col(number).alias("doc_id"), "text")
+    found = near_duplicates(rows, distance, words).select(F.col("doc_id").alias("row"), F.col("component_id").alias("root"))
+    ids = whole.select(F.col(number).alias("row"), F.col("doc_id").alias("id"))
+    of_group = stored(found.join(ids, "row"), "groups")
+    order = F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))
+    kept = of_group.groupBy("root").agg(F.min_by("row", order).alias("row"))
+    # One kept row each, so no row number is met twice and no group is joined by its root.
+    gone = of_group.select("row").join(kept.select("row"), "row", "left_anti").withColumnRenamed("row", number)
+    return whole.join(gone, number, "left_anti").select(*docs.columns)

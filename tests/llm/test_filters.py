@@ -274,6 +274,9 @@ def test_leaks_against_brute_force(spark, docs_of):
             assert inside in [decontamination.words_of(t or "") for i, t in [*items, *odd_items] if i == r["item_id"]]
     kept = decontamination.without_leaks(docs_of([*docs, (None, "clean words")]), bench)
     assert {r["doc_id"] for r in kept.collect()} == ({d for d, _ in docs} | {None}) - {d for d, _ in want}
+    twins = [(None, items[2][1]), (None, "clean words"), (7, items[2][1]), (7, "other clean words"), (7, None)]
+    kept = sorted((r["doc_id"] or -1, r["text"] or "") for r in decontamination.without_leaks(docs_of(twins), bench).collect())
+    assert kept == [(-1, "clean words"), (7, ""), (7, "other clean words")]
     assert decontamination.leaks(docs_of([]), bench).count() == 0
     assert decontamination.leaks(docs_of(docs[:3]), bench.where("false")).count() == 0
 

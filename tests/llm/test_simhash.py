@@ -112,10 +112,24 @@ def test_odd_documents(spark, docs_of):
 
 
 def test_one_of_each_group_stays(spark, docs_of):
-    docs = docs_of([(4, "a b c d"), (2, "a b c d"), (2, "a b c d"), (9, "quite another text"), (None, "a b c d")])
+    docs = docs_of([(4, "a b c d"), (2, "a b c d"), (2, "a b c d"), (9, "quite another text"), (None, "a b c d"),
+                    (None, "no id"), (None, "no id"), (None, "none either"), (9, "a text of the same id"), (None, None)])
     kept = simhash.without_copies(docs)
     assert kept.columns == docs.columns
-    assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, 2, 9]
+    got = sorted(((r["doc_id"] or -1), r["text"] or "") for r in kept.collect())
+    want = [(-1, ""), (-1, "no id"), (-1, "none either"), (2, "a b c d"), (9, "a text of the same id"), (9, "quite another text")]
+    assert got == want
+    assert simhash.without_copies(docs_of([])).count() == 0
+
+
+def test_crowded_fingerprints_are_not_gathered(spark, docs_of, monkeypatch):
+    texts = ["the same copy of one text"] * 40 + [f"text {i} of its own kind and words {i * 7}" for i in range(30)]
+    texts += ["another copy that is here often"] * 30 + [None] * 20
+    expected = sorted(tuple(r) for r in simhash.near_duplicates(docs_of(texts)).collect())
+    monkeypatch.setattr(simhash, "CROWD", 8)
+    assert sorted(tuple(r) for r in simhash.near_duplicates(docs_of(texts)).collect()) == expected
+    monkeypatch.setattr(simhash, "fits_broadcast", lambda df: False)
+    assert sorted(tuple(r) for r in simhash.near_duplicates(docs_of(texts)).collect()) == expected
 
 
 def test_long_chains(spark):
