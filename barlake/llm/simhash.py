@@ -256,4 +256,5 @@ def without_copies(docs: DataFrame, distance: int = DISTANCE, words: int = WORDS
     kept = of_group.groupBy("root").agg(F.min_by("row", order).alias("row"))
     # One kept row each, so no row number is met twice and no group is joined by its root.
     gone = of_group.select("row").join(kept.select("row"), "row", "left_anti").withColumnRenamed("row", number)
-    return whole.join(gone, number, "left_anti").select(*docs.columns)
+    # Rows that go are a large part of all rows, so the plan is the same at every size: no broadcast.
+    return whole.join(gone.hint("merge"), number, "left_anti").select(*docs.columns)

@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 BYTE_BPE = "byte_bpe_50k.json"
 MEMO_WORDS = 500_000
 _SPACE = r"[\s\v\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-_RUNS = rf"\A{_SPACE}|{_SPACE}{_SPACE}|{_SPACE}\z"
+RUNS = rf"\A{_SPACE}|{_SPACE}{_SPACE}|{_SPACE}\z"
 _MARKS = ".,;:!?%*&$#|"
 
 
@@ -89,7 +89,7 @@ class WordEncoder:
         """(ids of all texts in a row, number of ids of each text)."""
         if len(self.place) > self.memo_words:
             self.forget()
-        odd = pc.or_(pc.equal(texts, ""), pc.match_substring_regex(texts, _RUNS))
+        odd = pc.or_(pc.equal(texts, ""), pc.match_substring_regex(texts, RUNS))
         for special in self.special:
             odd = pc.or_(odd, pc.match_substring(texts, special))
         # A newline in front makes first words like those of the other lines.
