@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import quality, sharding
+from barlake.llm import mixing, quality, sharding, simplex_clusters
+from barlake.llm.alignment import align
 from barlake.llm.decontamination import leaks
 from barlake.llm.graph_search import nearest
 from barlake.llm.packing import pack
@@ -67,6 +68,18 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_digest(_table(spark, sf_dir, "documents"))
+
+
+def op12_simplex_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simplex_clusters.clustered(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(_table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
     "op1_graph_neighbours": op1_graph_neighbours,
     "op2_hash_shards": op2_hash_shards,
@@ -78,5 +91,12 @@ REGISTRY = {
     "op8_simhash_groups": op8_simhash_groups,
     "op9_token_counts": op9_token_counts,
     "op10_benchmark_leaks": op10_benchmark_leaks,
+    "op11_source_mix": op11_source_mix,
+    "op12_simplex_clusters": op12_simplex_clusters,
+    "op13_token_alignment": op13_token_alignment,
+}
+ORACLE_SQL = {
+    "op2_hash_shards": sharding.oracle(),
+    "op11_source_mix": mixing.oracle(),
+    "op12_simplex_clusters": simplex_clusters.oracle(),
 }
-ORACLE_SQL = {"op2_hash_shards": sharding.oracle()}
