@@ -25,6 +25,7 @@ import hashlib
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -43,11 +44,10 @@ from barlake.llm.token_ids import RUNS
 SIDE_A = "byte_bpe_50k.json"
 SIDE_B = "piece_bpe_32k.model"
 SPACE = "▁"
-MEMO_UNITS = 400_000
-MEMO_LINKS = 8_000_000
+MEMO_UNITS = 200_000
 #: Bits of a pair's code: radix, rest of the A id, B id; and of a document's place in its chunk.
 RADIX_BITS, ID_BITS, PLACE_BITS = 4, 16, 16
-CHUNK_DOCS, CHUNK_BYTES = 2048, 8 << 20
+CHUNK_DOCS, CHUNK_BYTES, PIECE_BYTES = 2048, 4 << 20, 1 << 19
 FAN_IN = 64
 #: Bytes of runs that one group of chunks may have.
 GROUP_BYTES = 128 << 20
@@ -81,17 +81,39 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in pieces):
             raise ValueError("pieces that span words or lines are not supported")
-        self.size_a = np.array([len(x) for x in self.bytes_a], np.int64)
-        self.size_b = np.array([len(x) for x in self.bytes_b], np.int64)
-        self.forget()
-
-    def forget(self) -> None:
+        self.size_a, self.spelt_a = spelling(self.bytes_a)
+        self.size_b, self.spelt_b = spelling(self.bytes_b)
+        self.memo_units = MEMO_UNITS
         self.place: dict[str, int] = {}
         self.written: list[str] = []
-        self.good = np.empty(0, bool)
+        self.good, self.uses = np.empty(0, bool), np.empty(0, np.int64)
         self.counts = np.empty((len(_COUNTS), 0), np.int64)
         self.links = np.empty(0, np.int64)
 
+    def forget(self) -> None:
+        """Keep the half of the memo that was used most, and let older uses fade."""
+        kept = np.sort(np.argsort(-self.uses, kind="stable")[: self.memo_units // 2])
+        names, sizes = list(self.place), self.counts[3]
+        self.links = gathered(self.links, (np.cumsum(sizes) - sizes)[kept], sizes[kept])
+        self.place = {names[i]: at for at, i in enumerate(kept.tolist())}
+        self.written = [self.written[i] for i in kept.tolist()]
+        self.good, self.counts, self.uses = self.good[kept], self.counts[:, kept], self.uses[kept] // 2
+
+    def spells(self, texts: list[str], side_a: list[list[int]], side_b: list[list[int]]) -> np.ndarray:
+        """Which texts both sides spell byte for byte: all at once, or one by one where not all are."""
+        want = np.frombuffer("".join(texts).encode(), np.uint8)
+        ends = np.cumsum(np.fromiter((len(t.encode()) for t in texts), np.int64, len(texts)))
+        for side, sizes, (flat, starts) in ((side_a, self.size_a, self.spelt_a), (side_b, self.size_b, self.spelt_b)):
+            ids = np.fromiter(chain.from_iterable(side), np.int64)
+            spelt = np.concatenate([[0], np.cumsum(sizes[ids])])[np.cumsum(np.fromiter(map(len, side), np.int64, len(side)))]
+            if not np.array_equal(spelt, ends) or not np.array_equal(gathered(flat, starts[ids], sizes[ids]), want):
+                break
+        else:
+            return np.ones(len(texts), bool)
+        a, b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
+        each = zip(texts, side_a, side_b, strict=True)
+        return np.fromiter((b"".join(map(a, x)) == t.encode() == b"".join(map(b, y)) for t, x, y in each), bool, len(texts))
+
     def align(self, texts: list[str], side_b: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
         """(good, counts, links, groups) of texts of side A and their ids of side B.
 
@@ -99,17 +121,14 @@ class Aligner:
         of the linked pairs, text by text; ``groups`` are written out.
         """
         side_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        spelt_a, spelt_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
-        good = np.zeros(len(texts), bool)
-        for i, (t, x, y) in enumerate(zip(texts, side_a, side_b, strict=True)):
-            want = t.encode()
-            good[i] = b"".join(map(spelt_a, x)) == want == b"".join(map(spelt_b, y))
-            if not good[i]:
-                side_a[i] = side_b[i] = []
+        good = self.spells(texts, side_a, side_b)
+        for i in np.flatnonzero(~good).tolist():
+            side_a[i] = side_b[i] = []
         n_a, n_b = (np.fromiter(map(len, side), np.int64, len(texts)) for side in (side_a, side_b))
-        a, b = (np.fromiter((i for ids in side for i in ids), np.int64) for side in (side_a, side_b))
+        a, b = (np.fromiter(chain.from_iterable(side), np.int64) for side in (side_a, side_b))
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
-        ends = np.union1d(ends_a, ends_b)
+        ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        ends = ends[np.flatnonzero(np.diff(ends, prepend=0))]
         at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
         both = (ends_a[at_a] == ends) & (ends_b[at_b] == ends)
         # How many links and groups each text has, from the byte at which it ends.
@@ -117,12 +136,14 @@ class Aligner:
         n_links = np.diff(np.searchsorted(ends, last, side="right"), prepend=0)
         n_groups = np.diff(np.searchsorted(ends[both], last, side="right"), prepend=0)
         names_a, names_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        groups, p, q = [], 0, 0
-        for r, s in zip((at_a[both] + 1).tolist(), (at_b[both] + 1).tolist(), strict=True):
-            groups.append(f"{','.join(names_a[p:r])}|{','.join(names_b[q:s])}")
-            p, q = r, s
+        to_a, to_b = (at_a[both] + 1).tolist(), (at_b[both] + 1).tolist()
+        join = ",".join
+        groups = [
+            f"{names_a[p]}|{names_b[q]}" if r - p == 1 == s - q else f"{join(names_a[p:r])}|{join(names_b[q:s])}"
+            for p, q, r, s in zip([0, *to_a], [0, *to_b], to_a, to_b, strict=False)
+        ]
         cuts = np.cumsum(n_groups).tolist()
-        written = [";".join(groups[s:e]) for s, e in zip([0, *cuts], cuts, strict=False)]
+        written = [groups[s] if e - s == 1 else ";".join(groups[s:e]) for s, e in zip([0, *cuts], cuts, strict=False)]
         counts = np.array([n_a, n_b, n_groups, n_links], np.int64).reshape(len(_COUNTS), -1)
         return good, counts, pair_codes(a[at_a], b[at_b]), written
 
@@ -141,42 +162,64 @@ class Aligner:
             good, counts, links, written = self.align(texts, ids)
             self.good, self.links = np.concatenate([self.good, good]), np.concatenate([self.links, links])
             self.counts = np.concatenate([self.counts, counts], axis=1)
+            self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
             self.written += written
             found[missing] = np.arange(n, n + len(new))
             self.place.update(zip(new, range(n, n + len(new)), strict=True))
         return found
 
-    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """(counts, links, digests): by text, link codes text by text."""
-        if len(self.place) > MEMO_UNITS or len(self.links) > MEMO_LINKS:
+    def plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """(counts, links, digests) of texts whose white space stands alone: they are put together from units."""
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        coded = split.flatten().dictionary_encode()
+        at = np.asarray(coded.indices)
+        known = self.units(coded.dictionary.to_pylist())
+        self.uses[known] += np.bincount(at, minlength=len(known))
+        places = known[at]
+        offsets = np.asarray(split.offsets).astype(np.int64) - split.offsets[0].as_py()
+        good = np.logical_and.reduceat(self.good[places], offsets[:-1])
+        units = np.diff(offsets)
+        kept = np.repeat(good, units)
+        counts = np.add.reduceat(np.where(kept, self.counts[:, places], 0), offsets[:-1], axis=1)
+        starts = np.cumsum(self.counts[3]) - self.counts[3]
+        links = gathered(self.links, starts[places[kept]], self.counts[3, places[kept]])
+        written, listed = self.written.__getitem__, places.tolist()
+        ends = offsets.tolist()
+        digests = [_digest(";".join(map(written, listed[s:e]))) if g else "" for s, e, g in zip(ends, ends[1:], good.tolist(), strict=False)]
+        return counts, links, digests
+
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+        """(counts, links, owners, digests): by text; the codes of all links, and the text of each."""
+        if len(self.place) > self.memo_units:
             self.forget()
         n = len(texts)
         odd = pc.or_(pc.match_substring_regex(texts, RUNS), pc.or_(pc.equal(texts, ""), pc.match_substring(texts, SPACE)))
         odd = np.asarray(odd, dtype=bool)
         counts, digests = np.zeros((len(_COUNTS), n), np.int64), [""] * n
-        own: list[np.ndarray] = [np.empty(0, np.int64)] * n
-        plain = np.flatnonzero(~odd)
-        if len(plain):
-            split = pc.split_pattern(pc.replace_substring(texts.take(pa.array(plain)), "\n", " \n"), " ")
-            coded = split.flatten().dictionary_encode()
-            places = self.units(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
-            starts = np.cumsum(self.counts[3]) - self.counts[3]
-            offsets = np.asarray(split.offsets) - split.offsets[0].as_py()
-            for k, i in enumerate(plain.tolist()):
-                units = places[offsets[k] : offsets[k + 1]]
-                if self.good[units].all():
-                    counts[:, i] = self.counts[:, units].sum(axis=1)
-                    own[i] = gathered(self.links, starts[units], self.counts[3, units])
-                    digests[i] = _digest(";".join([self.written[u] for u in units.tolist()]))
-        rest = [i for i in np.flatnonzero(odd).tolist() if texts[i].as_py()]
-        if rest:
-            whole = [texts[i].as_py() for i in rest]
-            good, found, links, written = self.align([" " + t for t in whole], self.b.encode(whole, num_threads=1))
-            cuts = np.cumsum(found[3])
-            for k, i in enumerate(rest):
-                if good[k]:
-                    counts[:, i], own[i], digests[i] = found[:, k], links[cuts[k] - found[3, k] : cuts[k]], _digest(written[k])
-        return counts, np.concatenate(own), digests
+        links: list[np.ndarray] = [np.empty(0, np.int64)]
+        owners: list[np.ndarray] = [np.empty(0, np.int64)]
+        own = np.flatnonzero(~odd)
+        for at, part in ((own, texts.take(pa.array(own))), (np.flatnonzero(odd), None)):
+            if part is None:
+                at = np.array([i for i in at.tolist() if texts[i].as_py()], np.int64)
+                whole = [texts[i].as_py() for i in at.tolist()]
+                good, found, codes, written = self.align([" " + t for t in whole], self.b.encode(whole, num_threads=1))
+                marks = [_digest(w) if g else "" for w, g in zip(written, good.tolist(), strict=True)]
+            elif len(at):
+                found, codes, marks = self.plain(part)
+            if len(at):
+                counts[:, at] = found
+                links.append(codes)
+                owners.append(np.repeat(at, found[3]))
+                for i, mark in zip(at.tolist(), marks, strict=True):
+                    digests[i] = mark
+        return counts, np.concatenate(links), np.concatenate(owners), digests
+
+
+def spelling(names: list[bytes]) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """Bytes of each id: how many, and all of them in a row with the place of each id's first."""
+    sizes = np.array([len(x) for x in names], np.int64)
+    return sizes, (np.frombuffer(b"".join(names), np.uint8), np.cumsum(sizes) - sizes)
 
 
 def _digest(written: str) -> str:
@@ -222,10 +265,9 @@ def of_body(frame: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw, "<u2", n).astype(np.int64), np.frombuffer(raw, "<u4", n, 2 * n).astype(np.int64)
 
 
-def runs_of(links: np.ndarray, n_links: np.ndarray) -> list[dict]:
-    """The records of a chunk's documents, sorted by pair and cut by radix."""
-    place = np.repeat(np.arange(len(n_links)), n_links)
-    records, times = np.unique(links << PLACE_BITS | place, return_counts=True)
+def runs_of(links: np.ndarray) -> list[dict]:
+    """The records (pair code and document) of a chunk's links, sorted by pair and cut by radix."""
+    records, times = np.unique(links, return_counts=True)
     codes, places = records >> PLACE_BITS, records & ((1 << PLACE_BITS) - 1)
     radices = codes >> (2 * ID_BITS)
     runs = []
@@ -237,6 +279,24 @@ def runs_of(links: np.ndarray, n_links: np.ndarray) -> list[dict]:
     return runs
 
 
+def fitting(sizes: np.ndarray, most: int) -> int:
+    """How many of the first texts have ``most`` bytes together; one at least."""
+    return max(1, int(np.searchsorted(np.cumsum(sizes), most, side="right")))
+
+
+def chunk_of(both: Aligner, texts: pa.Array, sizes: np.ndarray) -> dict:
+    """A chunk's columns; its texts are aligned a piece at a time."""
+    parts, start = [], 0
+    while start < len(texts):
+        n = fitting(sizes[start:], PIECE_BYTES)
+        counts, links, owners, digests = both.texts(texts.slice(start, n))
+        parts.append((counts, links << PLACE_BITS | (owners + start), digests))
+        start += n
+    counts, records, digests = zip(*parts, strict=True)
+    columns = dict(zip(_COUNTS, np.concatenate(counts, axis=1), strict=True))
+    return columns | {"digests": list(chain.from_iterable(digests)), "runs": runs_of(np.concatenate(records))}
+
+
 def chunks(docs: DataFrame, side_a: str = SIDE_A, side_b: str = SIDE_B) -> DataFrame:
     """One row for each chunk of documents: their ids, counts and digests, and the chunk's runs."""
     find_package(docs.sparkSession)
@@ -250,11 +310,9 @@ def chunks(docs: DataFrame, side_a: str = SIDE_A, side_b: str = SIDE_B) -> DataF
             sizes = np.asarray(pc.binary_length(texts)).astype(np.int64)
             start = 0
             while start < len(ids):
-                fitting = int(np.searchsorted(np.cumsum(sizes[start : start + CHUNK_DOCS]), CHUNK_BYTES, side="right"))
-                stop = start + max(1, fitting)
-                counts, links, digests = aligner(side_a, side_b).texts(texts.slice(start, stop - start))
-                row = {"chunk": task << 32 | number, "ids": ids.slice(start, stop - start), "digests": digests}
-                row |= dict(zip(_COUNTS, counts, strict=True)) | {"runs": runs_of(links, counts[3])}
+                stop = start + fitting(sizes[start : start + CHUNK_DOCS], CHUNK_BYTES)
+                row = {"chunk": task << 32 | number, "ids": ids.slice(start, stop - start)}
+                row |= chunk_of(aligner(side_a, side_b), texts.slice(start, stop - start), sizes[start:stop])
                 yield pa.RecordBatch.from_arrays([pa.array([row[f.name]], f.type) for f in target], schema=target)
                 start, number = stop, number + 1
 

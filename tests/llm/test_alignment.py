@@ -121,6 +121,7 @@ def test_query_over_documents(spark, small_sf, documents):
 @pytest.mark.parametrize("memo", [0, 400_000])
 def test_many_small_chunks_levels_and_groups(spark, docs_of, monkeypatch, memo):
     """Several merge levels and groups of chunks, a word in every document, ids null and repeated."""
+    alignment.aligner.cache_clear()
     for name, value in {"CHUNK_DOCS": 2, "FAN_IN": 2, "GROUP_BYTES": 2000, "MEMO_UNITS": memo}.items():
         monkeypatch.setattr(alignment, name, value)
     docs = [(i % 7 or None, f"the same word w{i % 5} and some {i} more" if i % 3 else "copied text of many") for i in range(60)] + [(3, None), (None, "")]
@@ -141,3 +142,16 @@ def test_very_long_text(spark, docs_of):
     a, b = spelt(text)
     assert (row["n_a"], row["n_b"]) == (len(a), len(b)) and row["n_best"] == row["count_sum"] == row["n_links"]
     assert row["n_groups"] <= row["n_links"]
+
+
+def test_memo_keeps_what_is_used_most(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(alignment, "MEMO_UNITS", 4)
+    small = alignment.Aligner(alignment.SIDE_A, alignment.SIDE_B)
+    whole = alignment.aligner(alignment.SIDE_A, alignment.SIDE_B)
+    batches = [["often often b c", "often d e\nf"], ["often g h often", "i j k often"], [" odd  text ", "often b c", "ab▁c"]]
+    for batch in batches:
+        for left, right in zip(small.texts(pa.array(batch)), whole.texts(pa.array(batch)), strict=True):
+            assert list(map(str, left)) == list(map(str, right))
+    assert "often" in small.place and len(small.place) < 9
