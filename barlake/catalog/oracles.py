@@ -234,6 +234,17 @@ def oracle_sql() -> dict[str, str]:
     time_text = (
         "CASE WHEN event_id % 89 = 0 THEN NULL WHEN event_id % 83 = 0 THEN NULL ELSE date_trunc('second', ts) END"
     )
+    vendor = (
+        "SELECT c_name AS ticker, '5m' AS timeframe, CASE WHEN c_custkey % 11 <> 0 "
+        "THEN TIMESTAMP '2024-01-02 14:30:00' END AS ts, p AS open, p AS high, p AS low, p AS close, p AS volume, "
+        "CASE WHEN c_custkey % 11 <> 0 THEN CAST(0 AS BIGINT) END AS seq, "
+        "CASE WHEN c_custkey % 11 = 0 THEN 'ConnectionError: no answer' END AS error "
+        "FROM (SELECT *, CASE WHEN c_custkey % 11 <> 0 THEN CAST(c_custkey AS DOUBLE) + 0.5 END AS p "
+        "FROM customer) AS c WHERE c_custkey % 11 = 0 OR c_custkey % 7 <> 0"
+    )
+    # The form of each event's time: whether it has a clock, an offset, a day, a year.
+    form = "event_id % 11"
+    wall = f"CASE WHEN {form} <= 6 THEN date_trunc('minute', ts) WHEN {form} <= 8 THEN date_trunc('day', ts) WHEN {form} = 9 THEN date_trunc('year', ts) END"
     return {
         "ticker_universe": (
             "SELECT c_mktsegment AS \"group\", upper(c_name) AS ticker FROM customer UNION ALL "
@@ -252,6 +263,10 @@ def oracle_sql() -> dict[str, str]:
             "SELECT ticker, timeframe, count(*) AS records, min(ts) AS first_ts, max(ts) AS latest_ts "
             "FROM bars GROUP BY ticker, timeframe"
         ),
+        "series_state": _with(
+            "SELECT ticker, timeframe, count(*) AS records, min(ts) AS first_ts, max(ts) AS latest_ts "
+            "FROM bars GROUP BY ticker, timeframe"
+        ),
         "target_watermark": f"SELECT max(ts) AS latest FROM ({ORDERED_SQL}) AS o",
         "series_exist": f"SELECT DISTINCT ticker, timeframe FROM ({ORDERED_SQL}) AS o",
         "dq_missing": _with(f"SELECT ticker, timeframe, {missing} FROM row_counts", _rows()),
@@ -281,6 +296,8 @@ def oracle_sql() -> dict[str, str]:
         "step_medians": _with("SELECT ticker, timeframe, median_step_us FROM medians", *_steps()),
         "dq_gaps": _with("SELECT ticker, timeframe, n_gaps FROM gaps", *_steps()),
         "dq_counters": _with("SELECT * FROM counters", *_counters()),
+        "dq_counters_by_time": _with("SELECT * FROM counters", *_counters(by_time)),
+        "dq_counters_incremental": _with("SELECT * FROM counters", *_counters(by_time)),
         "dq_counters_hourly": _with(
             "SELECT * FROM counters", ("hourly", CLEAN_SQL), *_counters(by_time, "hourly")
         ),
@@ -299,6 +316,11 @@ def oracle_sql() -> dict[str, str]:
             "FROM nation, (VALUES ('1d'), ('5m')) AS sizes(timeframe) WHERE NOT EXISTS "
             "(SELECT 1 FROM bars b WHERE b.ticker = n_name AND b.timeframe = sizes.timeframe)"
         ),
+        "dq_processing_errors": (
+            "SELECT c_name || '_1d' AS ticker, 'processing_error' AS type, "
+            "CASE WHEN c_custkey % 5 = 0 THEN 'no_header' ELSE 'missing_column' END AS message, CAST(1 AS BIGINT) AS n "
+            "FROM customer WHERE c_custkey % 2 = 0 AND (c_custkey % 5 = 0 OR c_custkey % 7 = 0)"
+        ),
         "rows_with_missing": _with(
             f"SELECT {BAR} FROM bars WHERE open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL "
             "OR volume IS NULL"
@@ -315,6 +337,10 @@ def oracle_sql() -> dict[str, str]:
             "THEN NULL ELSE CAST(event_id % 1000 AS DOUBLE) / 4 END AS number "
             f"FROM (SELECT event_id, {time_text} AS t FROM events) AS e WHERE t IS NOT NULL"
         ),
+        "clean_time_forms": (
+            f"SELECT event_id, CASE WHEN {form} = 6 THEN t + INTERVAL '4' HOUR ELSE t END AS utc_ts, CAST(t AS DATE) AS bar_date "
+            f"FROM (SELECT event_id, CAST({wall} AS TIMESTAMP) AS t FROM events) AS e"
+        ),
         "banner_filter": (
             "SELECT doc_id, lang AS ticker FROM documents "
             "WHERE NOT (coalesce(contains(text, lang), FALSE) OR coalesce(contains(source, lang), FALSE))"
@@ -355,6 +381,7 @@ def oracle_sql() -> dict[str, str]:
             BATCH,
         ),
         "freshness_daily": _with("SELECT * FROM fresh", *_fresh_daily("2024-02-05 06:00:00")),
+        "freshness_from_state": _with("SELECT * FROM fresh", *_fresh_daily("2024-02-05 06:00:00")),
         "freshness_intraday": _with(
             _fresh_intraday("2024-01-31 11:30:00"),
             (
@@ -406,14 +433,8 @@ def oracle_sql() -> dict[str, str]:
             ),
         ),
         "daily_subset": _with(f"SELECT {BAR} FROM bars WHERE timeframe = '1d'"),
-        "pluggable_fetch": (
-            "SELECT c_name AS ticker, '5m' AS timeframe, CASE WHEN c_custkey % 11 <> 0 "
-            "THEN TIMESTAMP '2024-01-02 14:30:00' END AS ts, p AS open, p AS high, p AS low, p AS close, p AS volume, "
-            "CASE WHEN c_custkey % 11 <> 0 THEN CAST(0 AS BIGINT) END AS seq, "
-            "CASE WHEN c_custkey % 11 = 0 THEN 'ConnectionError: no answer' END AS error "
-            "FROM (SELECT *, CASE WHEN c_custkey % 11 <> 0 THEN CAST(c_custkey AS DOUBLE) + 0.5 END AS p "
-            "FROM customer) AS c WHERE c_custkey % 11 = 0 OR c_custkey % 7 <> 0"
-        ),
+        "pluggable_fetch": vendor,
+        "fetch_as_source": vendor,
         "age_of_bars": _with(
             "SELECT ticker, timeframe, ts, seq, date_diff('day', CAST(ts AS DATE), DATE '2024-02-05') AS age_days, "
             "(epoch_us(TIMESTAMP '2024-02-05 06:00:00') - epoch_us(ts)) / 1000000.0 AS age_seconds FROM bars "

@@ -12,9 +12,12 @@ from barlake.functions import timing
 from barlake.functions.parsing import to_bar_date, to_number, to_utc_wall_time
 from barlake.operators import counters, filters, freshness, keyed, returns, steps
 from barlake.operators.lookup import series_fit
-from barlake.plans import clean, merge, publish, quality
+from barlake.plans import clean, merge, publish, quality, quality_state
 from barlake.schema import BAR_COLUMNS, KEY, SERIES, TS, VALUES
+from barlake.sinks.file_states import errors_of
+from barlake.sinks.series_state import combined
 from barlake.sources import fetch, universe
+from barlake.sources.datasource import register_fetch_source
 from barlake.sources.lake import latest_time
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +88,13 @@ def series_rows(spark: SparkSession, sf: str) -> DataFrame:
     return counters.series_summary(views.bars_dirty(spark, sf))
 
 
+@query
+def series_state(spark: SparkSession, sf: str) -> DataFrame:
+    """AGG-1, SRC-11: the state kept with every append, from the summaries of two deliveries."""
+    first, second = _split(views.bars_dirty(spark, sf, with_delivery=True))
+    return combined(counters.series_summary(first).unionByName(counters.series_summary(second)))
+
+
 @query
 def target_watermark(spark: SparkSession, sf: str) -> DataFrame:
     """SRC-12, AGG-2."""
@@ -198,6 +208,21 @@ def dq_counters(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_counters(views.bars_dirty(spark, sf), order="seq")
 
 
+@query
+def dq_counters_by_time(spark: SparkSession, sf: str) -> DataFrame:
+    """All counters in time order, the form that production runs."""
+    return quality.quality_counters(views.bars_dirty(spark, sf))
+
+
+@query
+def dq_counters_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """PIP-5 incrementally: the state of the first delivery, then only the slots that the second touches are read."""
+    both = views.bars_dirty(spark, sf, with_delivery=True)
+    first, second = _split(both)
+    state = quality_state.block_state(first)
+    return quality_state.counters_of(quality_state.updated_state(state, second, both.select(*BAR_COLUMNS)))
+
+
 @query
 def dq_counters_hourly(spark: SparkSession, sf: str) -> DataFrame:
     """The same over the rolled-up hourly bars, in time order."""
@@ -238,6 +263,26 @@ def dq_empty_series(spark: SparkSession, sf: str) -> DataFrame:
     return found.where("type = 'empty_data'").select(*SERIES, "type", "message")
 
 
+@query
+def dq_processing_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """DQ-9: a file for each customer, some without a header or a column; a second batch mends every other one."""
+    customers = views.table(spark, sf, "customer")
+    head = "CASE WHEN {bad} AND c_custkey % 5 = 0 THEN '' WHEN {bad} AND c_custkey % 7 = 0 THEN 'Date,Open,High,Low,Close' ELSE 'Date,Open,High,Low,Close,Volume' END"
+
+    def batch(bad: str, number: int) -> DataFrame:
+        lines = F.expr(f"explode(array({head.format(bad=bad)}, concat('2024-01-02,1,2,0,1,', CAST(c_custkey AS STRING))))").alias("line")
+        files = customers.select(F.concat(F.col("c_name"), F.lit("_1d.csv")).alias("source_file"), lines)
+        return clean.file_reasons(clean.clean_landing(files)).withColumn("number", F.lit(number).cast("long"))
+
+    states = batch("TRUE", 0).unionByName(batch("c_custkey % 2 = 0", 1))
+    return quality.issues_of(_no_counters(spark), errors_of(states)).select("ticker", "type", "message", "n")
+
+
+def _no_counters(spark: SparkSession) -> DataFrame:
+    counts = ", ".join(f"{c} long" for c in ["records", *quality.COUNTS])
+    return spark.createDataFrame([], f"ticker string, timeframe string, {counts}, median_step_us double")
+
+
 @query
 def rows_with_missing(spark: SparkSession, sf: str) -> DataFrame:
     """FLT-3."""
@@ -247,9 +292,7 @@ def rows_with_missing(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def chart_data(spark: SparkSession, sf: str) -> DataFrame:
     """DQ-14, SRT-3: one series with its issue text."""
-    bars = views.bars_dirty(spark, sf)
-    issues = quality.quality_run(bars, order="seq").issues
-    return quality.chart_data(bars, "click", "5m", issues)
+    return quality.series_chart(views.bars_dirty(spark, sf), "click", "5m", order="seq")
 
 
 # --- cleaning ----------------------------------------------------------------------------------
@@ -278,6 +321,21 @@ def clean_cast(spark: SparkSession, sf: str) -> DataFrame:
     ).where("utc_ts IS NOT NULL")
 
 
+@query
+def clean_time_forms(spark: SparkSession, sf: str) -> DataFrame:
+    """SCL-1, SCL-2: every event time written in one of many forms, read back."""
+    minute = F.date_trunc("minute", "ts")
+    written = lambda form: F.date_format(minute, form)
+    forms = [
+        written("yyyy/MM/dd HH:mm"), written("M/d/yyyy h:mm a"), written("MM/dd/yyyy HH:mm:ssXXX"), written("d MMM yyyy HH:mm:ss"),
+        written("MMMM d, yyyy H:mm"), written("yyyyMMdd'T'HHmmss"), F.concat(written("yyyy-MM-dd HH:mm"), F.lit("-04:00")),
+        written("yyyyMMdd"), written("MMM d, yyyy"), written("yyyy"), written("HH:mm"),
+    ]
+    chosen = F.element_at(F.array(*forms), (F.col("event_id") % len(forms) + 1).cast("int"))
+    text = views.table(spark, sf, "events").select("event_id", chosen.alias("time_text"))
+    return text.select("event_id", to_utc_wall_time(F.col("time_text")).alias("utc_ts"), to_bar_date(F.col("time_text")).alias("bar_date"))
+
+
 @query
 def banner_filter(spark: SparkSession, sf: str) -> DataFrame:
     """FLT-1: rows whose text repeats the ticker are dropped. Here: documents naming their own language."""
@@ -388,6 +446,14 @@ def freshness_daily(spark: SparkSession, sf: str) -> DataFrame:
     return freshness.daily_freshness(bars, bars.select("ticker").distinct().unionByName(nations), AS_OF)
 
 
+@query
+def freshness_from_state(spark: SparkSession, sf: str) -> DataFrame:
+    """FRS-1 from the series state alone."""
+    nations = views.table(spark, sf, "nation").select(F.col("n_name").alias("ticker"))
+    state = series_state(spark, sf)
+    return freshness.daily_freshness(state, state.select("ticker").distinct().unionByName(nations), AS_OF)
+
+
 @query
 def freshness_intraday(spark: SparkSession, sf: str) -> DataFrame:
     """FRS-2, SCL-9."""
@@ -486,6 +552,23 @@ def daily_subset(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def pluggable_fetch(spark: SparkSession, sf: str) -> DataFrame:
     """SRC-4: every customer is asked for; the fetcher answers from the ticker alone, fails for some."""
+    return fetch.fetch(_customer_plan(spark, sf), _vendor())
+
+
+@query
+def fetch_as_source(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-4 as a data source: the same plan read through ``spark.read.format``, failures asked again once."""
+    register_fetch_source(spark, _customer_plan(spark, sf), _vendor(), "customer_bars")
+    options = {"rowsPerPartition": 1000, "retries": 1, "wait": 0}
+    return spark.read.format("customer_bars").options(**options).load()
+
+
+def _customer_plan(spark: SparkSession, sf: str) -> DataFrame:
+    tickers = views.table(spark, sf, "customer").select(F.col("c_name").alias("ticker"))
+    return universe.fetch_plan(tickers, timeframes=["5m"], with_daily=False)
+
+
+def _vendor() -> fetch.Fetcher:
     import pandas as pd
 
     def fetcher(ticker: str, timeframe: str, period: str) -> pd.DataFrame:
@@ -497,8 +580,7 @@ def pluggable_fetch(spark: SparkSession, sf: str) -> DataFrame:
         prices = {c: [number + 0.5] for c in ("Open", "High", "Low", "Close", "Volume")}
         return pd.DataFrame({"index": ["2024-01-02 09:30:00-05:00"], **prices})
 
-    tickers = views.table(spark, sf, "customer").select(F.col("c_name").alias("ticker"))
-    return fetch.fetch(universe.fetch_plan(tickers, timeframes=["5m"], with_daily=False), fetcher)
+    return fetcher
 
 
 @query

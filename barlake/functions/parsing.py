@@ -9,13 +9,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # A bare clock time would read as "today", so text must start with a four-digit year, or have one of
-# these forms.
+# the other forms.
 _HAS_YEAR = r"^\s*\d{4}-"
-_OTHER_FORMS = {
-    r"^\s*\d{8}\s*$": ("yyyyMMdd",),
-    r"^\s*\d{1,2}/\d{1,2}/\d{4}": ("M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss"),
-    r"^\s*[A-Za-z]{3} \d{1,2}, \d{4}": ("MMM d, yyyy", "MMM d, yyyy H:mm", "MMM d, yyyy H:mm:ss"),
+# Month names in their order; three letters and "sept" stand for them as well.
+_MONTHS = [
+    "january", "february", "march", "april", "may", "june",
+    "july", "august", "september", "october", "november", "december",
+]
+_MONTH = "(" + "|".join([f"{m[:3]}(?:{m[3:]})?" if len(m) > 3 else m for m in _MONTHS] + ["sept"]) + r")\.?"
+#: Form of a date that is not written year-month-day, and how it is then written.
+_NUMBERED_FORMS = {
+    r"^(\d{4})$": "$1-01-01",
+    r"^(\d{4})(\d{2})(\d{2})$": "$1-$2-$3",
+    r"^(\d{4})(\d{2})(\d{2})[T ]?(\d{2})(\d{2})(\d{2})(?!\d)": "$1-$2-$3 $4:$5:$6",
+    r"^(\d{4})/(\d{1,2})/(\d{1,2})(?!\d)": "$1-$2-$3",
+    r"^(\d{1,2})/(\d{1,2})/(\d{4})(?!\d)": "$3-$1-$2",
 }
+#: Forms with a month name, and the groups of their day, month and year.
+_NAMED_FORMS = {
+    rf"(?i)^{_MONTH}\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s+(\d{{4}})(?!\d)": (2, 1, 3),
+    rf"(?i)^(\d{{1,2}})(?:st|nd|rd|th)?[\s-]+{_MONTH}[\s,-]+(\d{{4}})(?!\d)": (1, 2, 3),
+}
+_HALF_DAY = r"(?i)^(\S+)[T\s]+(\d{1,2})((?::\d{2}){0,2}(?:\.\d+)?)\s*([ap])\.?m\.?$"
+_NO_SECONDS = r"^(\S+[T\s]+\d{1,2}:\d{2})\s*((?:[+-]\d|Z).*)$"
 # Spark reads "5d" and "5f" as numbers; as bar values they are bad text.
 _TYPE_SUFFIXES = ("d", "D", "f", "F")
 _INFINITE = ("inf", "+inf", "-inf")
@@ -33,25 +49,54 @@ def _in_range(time: Column) -> Column:
     return F.when(F.year(time).between(1, 9999), time)
 
 
-def _other_forms(text: Column) -> Column:
-    """Month-first, month-name and undivided dates, as zone-free times."""
-    found = F.lit(None).cast("timestamp")
-    for pattern, forms in _OTHER_FORMS.items():
-        parsed = F.coalesce(*[F.try_to_timestamp(F.trim(text), F.lit(form)) for form in forms])
-        found = F.when(text.rlike(pattern), parsed).otherwise(found)
-    return found.cast("timestamp_ntz")
+def _month_number(name: Column) -> Column:
+    """1 to 12 from a month name or its first letters."""
+    letters = "".join(m[:3] for m in _MONTHS)
+    return ((F.instr(F.lit(letters), F.lower(F.substring(name, 1, 3))) + 2) / 3).cast("int").cast("string")
+
+
+def _year_first(text: Column) -> Column:
+    """Text of any known form with its date as year-month-day and its clock of 24 hours; NULL for other text."""
+    plain = F.trim(text)
+    dated = F.when(plain.rlike(_HAS_YEAR), plain)
+    for form, written in _NUMBERED_FORMS.items():
+        dated = dated.when(plain.rlike(form), F.regexp_replace(plain, form, written))
+    for form, (day, month, year) in _NAMED_FORMS.items():
+        part = lambda group, form=form: F.regexp_extract(plain, form, group)
+        date = F.concat_ws("-", part(year), _month_number(part(month)), part(day))
+        dated = dated.when(plain.rlike(form), F.concat(date, F.regexp_replace(plain, form, "")))
+    return dated
+
+
+def _plain_clock(dated: Column) -> Column:
+    """Half days to 24 hours; seconds where an offset follows the minutes."""
+    part = lambda group: F.regexp_extract(dated, _HALF_DAY, group)
+    hour = part(2).try_cast("int")
+    hour = F.when(hour.between(1, 12), hour % 12 + F.when(F.lower(part(4)) == "p", 12).otherwise(0))
+    minutes = F.when(part(3) == "", ":00").otherwise(part(3))
+    return F.when(dated.rlike(_HALF_DAY), F.concat(part(1), F.lit(" "), F.lpad(hour.cast("string"), 2, "0"), minutes)).otherwise(
+        F.regexp_replace(dated, _NO_SECONDS, "$1:00$2")
+    )
+
+
+def _rewritten(text: Column) -> Column:
+    """The rewritten text of the few values that are no plain year-first times.
+
+    A function over a list of one keeps these many patterns out of the generated code of the usual path.
+    """
+    return F.get(F.transform(F.transform(F.array(text), _year_first), _plain_clock), F.lit(0))
 
 
 def to_bar_date(text: Column) -> Column:
     """SCL-1: text to DATE, keeping the written day when an offset follows."""
-    dated = F.when(text.rlike(_HAS_YEAR), text.try_cast("timestamp_ntz")).otherwise(_other_forms(text))
-    return _in_range(dated.cast("date"))
+    dated = F.when(text.rlike(_HAS_YEAR), text.try_cast("timestamp_ntz"))
+    return _in_range(F.coalesce(dated, _rewritten(text).try_cast("timestamp_ntz")).cast("date"))
 
 
 def to_utc_wall_time(text: Column) -> Column:
     """SCL-2, SCL-4: text with any offset to zone-free UTC time (session zone is UTC)."""
-    timed = F.when(text.rlike(_HAS_YEAR), F.try_to_timestamp(text).cast("timestamp_ntz"))
-    return _in_range(timed.otherwise(_other_forms(text)))
+    timed = F.when(text.rlike(_HAS_YEAR), F.try_to_timestamp(text))
+    return _in_range(F.coalesce(timed, _rewritten(text).try_cast("timestamp")).cast("timestamp_ntz"))
 
 
 def to_utc_instant(value: Column) -> Column:

@@ -5,7 +5,7 @@ One aggregate without any window: map tasks send one partial row per series, bar
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlake.schema import SERIES, TS, VALUES
@@ -16,8 +16,8 @@ OPEN_OUTSIDE = "open > high OR open < low"
 NO_VOLUME = "volume <= 0"
 
 
-def row_counters(bars: DataFrame) -> DataFrame:
-    """(series, records, n_missing_*, n_high_low, n_close_out, n_open_out, n_no_volume)."""
+def row_counter_columns() -> list[Column]:
+    """The counters as aggregates: records, missing values, crossed prices, no volume."""
     counts = {
         "records": "TRUE",
         **{f"n_missing_{c}": f"{c} IS NULL" for c in VALUES},
@@ -26,7 +26,12 @@ def row_counters(bars: DataFrame) -> DataFrame:
         "n_open_out": OPEN_OUTSIDE,
         "n_no_volume": NO_VOLUME,
     }
-    return bars.groupBy(*SERIES).agg(*[F.expr(f"count_if({test}) AS {name}") for name, test in counts.items()])
+    return [F.expr(f"count_if({test}) AS {name}") for name, test in counts.items()]
+
+
+def row_counters(bars: DataFrame) -> DataFrame:
+    """(series, records, n_missing_*, n_high_low, n_close_out, n_open_out, n_no_volume)."""
+    return bars.groupBy(*SERIES).agg(*row_counter_columns())
 
 
 def series_summary(bars: DataFrame) -> DataFrame:

@@ -47,7 +47,8 @@ def _states(latest: DataFrame, as_of: Column, too_old: Column, unreadable: DataF
 
 
 def _latest(bars: DataFrame) -> DataFrame:
-    summary = series_summary(bars)
+    """Latest times from bars, or from a table that holds them already (a series state)."""
+    summary = bars if "latest_ts" in bars.columns else series_summary(bars)
     return summary.select(*SERIES, F.lit(True).alias("present"), "records", F.col("latest_ts").alias("latest"))
 
 
@@ -64,7 +65,10 @@ def daily_freshness(
     max_age_days: int = DAILY_MAX_AGE_DAYS,
     unreadable: DataFrame | None = None,
 ) -> DataFrame:
-    """FRS-1: every configured ticker; stale if missing, empty, without a time, unreadable or older than a week."""
+    """FRS-1: every configured ticker; stale if missing, empty, without a time, unreadable or older than a week.
+
+    ``bars`` may be a series state (ticker, timeframe, records, latest_ts) instead, which is then all that is read.
+    """
     now = as_of_literal(as_of)
     expected = tickers.select(TICKER, F.lit(DAILY).alias(TIMEFRAME))
     known = _against(expected, _latest(daily(bars)))
@@ -85,7 +89,7 @@ def intraday_freshness(
 
     An absent series is not stale, so a lake without intraday bars counts as fresh; with
     ``expect_all`` every ticker at every bar size is expected instead. ``existing`` lists series
-    known to be stored even when they hold no row.
+    known to be stored even when they hold no row. ``bars`` may be a series state, as for daily ones.
     """
     now = as_of_literal(as_of)
     timeframes = timeframes or INTRADAY

@@ -58,10 +58,19 @@ def return_stats(returns: DataFrame) -> DataFrame:
     )
 
 
+def _scored(returns: DataFrame, series_small: bool) -> DataFrame:
+    scored = attach(returns, return_stats(returns), SERIES, small_fits=series_small)
+    return scored.withColumn("z", F.expr("abs(try_divide(ret - mean_ret, std_ret))"))
+
+
 def z_scores(returns: DataFrame, series_small: bool) -> DataFrame:
     """WIN-3, JOIN-4: absolute z-score of every return within its series."""
-    scored = attach(returns, return_stats(returns), SERIES, small_fits=series_small)
-    return scored.selectExpr(*SERIES, SEQ, "ret", "abs(try_divide(ret - mean_ret, std_ret)) AS z")
+    return _scored(returns, series_small).select(*SERIES, SEQ, "ret", "z")
+
+
+def count_outliers(returns: DataFrame, series_small: bool, limit: float = OUTLIER_Z) -> DataFrame:
+    """DQ-6: (series, n_outliers) of returns, whatever they were taken from."""
+    return _scored(returns, series_small).groupBy(*SERIES).agg(F.expr(f"count_if(z > {limit}D) AS n_outliers"))
 
 
 def outlier_counts(
@@ -75,5 +84,4 @@ def outlier_counts(
     """DQ-6: (series, n_outliers) for every series with at least one return."""
     if series_small is None:
         series_small = series_fit(bars)
-    scored = z_scores(simple_returns(bars, order=order, fill=fill, crowded=crowded), series_small)
-    return scored.groupBy(*SERIES).agg(F.expr(f"count_if(z > {limit}D) AS n_outliers"))
+    return count_outliers(simple_returns(bars, order=order, fill=fill, crowded=crowded), series_small, limit)

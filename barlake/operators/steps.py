@@ -3,7 +3,8 @@
 Steps are taken inside time slots, and between slots from the first and last time of each, so no
 task sorts a whole series. In crowded slots the rows are first collapsed to distinct times with a
 count (combined before the shuffle), so a time repeated millions of times costs one row; a repeat
-is a step of zero. Steps are then counted by length, and median and gaps are read off that histogram.
+is a step of zero. Steps are then counted by length; the median is selected from that histogram, and gaps are
+counted in it.
 """
 
 from __future__ import annotations
@@ -13,10 +14,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barlake.operators.lookup import attach, series_fit
 from barlake.operators.ordering import CrowdedSlots, find_crowded_slots, has_series, with_slot
 from barlake.schema import DAILY, DAILY_GAP_DAYS, GAP_FACTOR, KEY, SERIES, TIMEFRAME, TS
 
 
+#: Binary digits by which steps are counted on the way to their median.
+COARSE, FINE = 8, 21
 _KEYS = ", ".join(SERIES)
 _MICROS = "unix_micros(CAST({} AS TIMESTAMP))"
 
@@ -90,27 +94,69 @@ def step_histogram(
     return steps.where("n > 0").groupBy(*SERIES, "step_us").agg(F.expr("sum(n) AS n"))
 
 
-def with_median(histogram: DataFrame) -> DataFrame:
-    """AGG-8, JOIN-4: the histogram with the two middle steps of its series, ``low_us`` and ``high_us``.
+def _code(bits: int, step: str = "step_us") -> str:
+    """A number that rises with the step: its length in binary digits, then the first ``bits`` of them."""
+    length = f"CAST(length(bin({step})) AS BIGINT)"
+    return f"shiftleft({length}, {bits}) + shiftright({step}, CAST(greatest({length} - {bits}, 0) AS INT))"
 
-    Their mean is the exact median. The windows run over distinct steps, never over bars.
+
+def _at_ranks(steps: DataFrame, code: str) -> DataFrame:
+    """(series, low, high, before, want_low, want_high): the codes that hold the wanted ranks of each series.
+
+    ``steps`` is (series, step_us, n) and the ranks wanted among them, or none for the two middle ones.
+    Per series only the counts of its codes are gathered.
     """
-    whole = f"PARTITION BY {_KEYS}"
-    running = f"{whole} ORDER BY step_us ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-    weight = "CASE WHEN step_us IS NULL THEN 0L ELSE n END"
-    ranked = histogram.selectExpr(
-        "*", f"sum({weight}) OVER ({running}) AS _upto", f"sum({weight}) OVER ({whole}) AS _total"
+    wanted = "want_low" in steps.columns
+    counts = steps.groupBy(*SERIES, F.expr(code).alias("code")).agg(
+        F.expr("sum(n) AS n"), *[F.expr(f"any_value({c}) AS {c}") for c in ("want_low", "want_high") if wanted]
+    )
+    listed = counts.groupBy(*SERIES).agg(
+        F.expr("array_sort(collect_list(named_struct('code', code, 'n', n))) AS codes"),
+        *(
+            [F.expr("any_value(want_low) AS want_low"), F.expr("any_value(want_high) AS want_high")]
+            if wanted
+            else [F.expr("(sum(n) + 1) div 2 AS want_low"), F.expr("sum(n) div 2 + 1 AS want_high")]
+        ),
+    )
+    start = "named_struct('upto', 0L, 'low', CAST(NULL AS BIGINT), 'high', CAST(NULL AS BIGINT), 'before', 0L)"
+    holds = "a.{0} IS NULL AND a.upto + x.n >= want_{0}"
+    found = (
+        f"aggregate(codes, {start}, (a, x) -> named_struct('upto', a.upto + x.n, "
+        f"'low', CASE WHEN {holds.format('low')} THEN x.code ELSE a.low END, "
+        f"'high', CASE WHEN {holds.format('high')} THEN x.code ELSE a.high END, "
+        f"'before', CASE WHEN {holds.format('low')} THEN a.upto ELSE a.before END))"
     )
-    at_rank = "min(CASE WHEN _upto >= {rank} THEN step_us END) OVER ({whole}) AS {name}"
-    return ranked.selectExpr(
-        *SERIES,
-        "step_us",
-        "n",
-        at_rank.format(rank="(_total + 1) div 2", whole=whole, name="low_us"),
-        at_rank.format(rank="_total div 2 + 1", whole=whole, name="high_us"),
+    return listed.selectExpr(*SERIES, "want_low", "want_high", f"{found} AS at").selectExpr(
+        *SERIES, "at.low", "at.high", "at.before", "want_low - at.before AS want_low", "want_high - at.before AS want_high"
     )
 
 
+def median_steps(histogram: DataFrame, series_small: bool | None = None) -> DataFrame:
+    """AGG-8: (series, low_us, high_us), the two middle steps of each series; their mean is the exact median.
+
+    Selection instead of sorting: steps are counted by their length and first COARSE digits; of the few
+    codes that hold the wanted ranks, by their first FINE digits; and of what is left one by one. Wanted
+    ranks are neighbours, so no other code lies between theirs. The first two lists are bounded by the
+    digits. The last is bounded by time: codes of steps of two to the k microseconds span 2^(k - FINE)
+    values, and a series of 100 years has at most 2^(52 - k) such steps, so about 2^16 distinct ones.
+    """
+    steps = histogram.where("step_us IS NOT NULL").select(*SERIES, "step_us", "n")
+    if series_small is None:
+        series_small = series_fit(steps)
+    for code in (_code(COARSE), _code(FINE)):
+        coded = steps.select(*SERIES, "step_us", "n", F.expr(code).alias("code"))
+        met = attach(coded, _at_ranks(steps, code), SERIES, "inner", small_fits=series_small)
+        steps = met.where("code BETWEEN low AND high").select(*SERIES, "step_us", "n", "want_low", "want_high")
+    return _at_ranks(steps, "step_us").selectExpr(*SERIES, "low AS low_us", "high AS high_us")
+
+
+def with_median(histogram: DataFrame, series_small: bool | None = None) -> DataFrame:
+    """AGG-8, JOIN-4: the histogram with the two middle steps of its series, ``low_us`` and ``high_us``."""
+    if series_small is None:
+        series_small = series_fit(histogram)
+    return attach(histogram, median_steps(histogram, series_small), SERIES, small_fits=series_small)
+
+
 def gap_limit_sql() -> str:
     """Steps strictly above this are gaps: 3 days for daily bars, 10 medians for all others.
 
@@ -123,11 +169,23 @@ def gap_limit_sql() -> str:
 
 
 def step_counts(
-    bars: DataFrame, bars_per_slot: int | None = None, crowded: CrowdedSlots | None = None
+    bars: DataFrame,
+    bars_per_slot: int | None = None,
+    crowded: CrowdedSlots | None = None,
+    series_small: bool | None = None,
 ) -> DataFrame:
     """DQ-3, DQ-7, DQ-8: (series, n_duplicates, n_gaps, median_step_us), all from one histogram."""
+    if crowded is None:
+        crowded = find_crowded_slots(bars, bars_per_slot=bars_per_slot)
+    if series_small is None:
+        series_small = crowded.few_series or series_fit(bars)
+    return counts_from(step_histogram(bars, bars_per_slot, crowded), series_small)
+
+
+def counts_from(histogram: DataFrame, series_small: bool | None = None) -> DataFrame:
+    """(series, n_duplicates, n_gaps, median_step_us) from the counts of steps, whatever they were taken from."""
     count_where = "coalesce(sum(n) FILTER (WHERE {}), 0L) AS {}"
-    return with_median(step_histogram(bars, bars_per_slot, crowded)).groupBy(*SERIES).agg(
+    return with_median(histogram, series_small).groupBy(*SERIES).agg(
         F.expr(count_where.format("step_us IS NULL OR step_us = 0", "n_duplicates")),
         F.expr(count_where.format(f"step_us > {gap_limit_sql()}", "n_gaps")),
         F.expr("min((low_us + high_us) / 2) AS median_step_us"),

@@ -13,6 +13,7 @@ from barlake.sources.landing import cells_by_column
 
 # Outcome of a line: stored as a bar, dropped by rule, or rejected as unusable.
 BAR, DROPPED, REJECTED = "bar", "dropped", "rejected"
+FETCH_ERROR = "fetch_error"
 
 
 def clean_landing(
@@ -72,7 +73,7 @@ def rejects_of(cleaned: DataFrame) -> DataFrame:
 def cleaned_fetch(answers: DataFrame) -> DataFrame:
     """The answers of a fetch in the form of cleaned lines: bars, and one reject per failed plan row."""
     reason = (
-        F.when(F.col("error").isNotNull(), "fetch_error").when(F.col(TS).isNull(), "bad_time").alias("reason")
+        F.when(F.col("error").isNotNull(), FETCH_ERROR).when(F.col(TS).isNull(), "bad_time").alias("reason")
     )
     outcome = F.when(F.col("reason").isNull(), BAR).otherwise(REJECTED)
     name = F.concat(F.col(TICKER), F.lit("_"), F.col(TIMEFRAME), F.lit(".csv")).alias("source_file")
@@ -85,8 +86,12 @@ def missing_of(cleaned: DataFrame) -> DataFrame:
     return rows_with_missing(cleaned.where(F.col("outcome") == BAR)).select("source_file", *BAR_COLUMNS)
 
 
+def file_reasons(cleaned: DataFrame) -> DataFrame:
+    """(source_file, reason): every file, with why it cannot be used as a whole, or NULL."""
+    reason = F.when(F.col("reason").isin("no_header", "file_failed", "missing_column", FETCH_ERROR), F.col("reason"))
+    return cleaned.select("source_file", reason.alias("reason")).groupBy("source_file").agg(F.min("reason").alias("reason"))
+
+
 def file_errors(cleaned: DataFrame) -> DataFrame:
     """DQ-9 input: one row per file that lacks a header or a value column, or failed as a whole."""
-    reason = F.when(F.col("reason").isin("no_header", "file_failed", "missing_column", "fetch_error"), F.col("reason"))
-    marked = cleaned.select("source_file", reason.alias("reason")).where("reason IS NOT NULL")
-    return marked.groupBy("source_file").agg(F.min("reason").alias("reason"))
+    return file_reasons(cleaned).where("reason IS NOT NULL")

@@ -64,9 +64,14 @@ def quality_counters(
     outliers = outlier_counts(bars, order=order, fill=fill, series_small=series_small, crowded=crowded)
     counters = (
         row_counters(bars)
-        .join(step_counts(bars, crowded=crowded), SERIES, "left")
+        .join(step_counts(bars, crowded=crowded, series_small=series_small), SERIES, "left")
         .join(outliers, SERIES, "left")
     )
+    return with_expected(counters, expected)
+
+
+def with_expected(counters: DataFrame, expected: DataFrame | None) -> DataFrame:
+    """Counters with a row of zeros for every expected series without bars, and no missing count."""
     if expected is not None:
         counters = expected.select(*SERIES).distinct().join(counters, SERIES, "full")
     return counters.selectExpr(
@@ -159,6 +164,13 @@ def quality_tables(counters: DataFrame, file_errors: DataFrame | None = None) ->
     return QualityTables(counters, issues_of(counters, file_errors), results, stats_of(results, file_errors))
 
 
+def series_chart(bars: DataFrame, ticker: str, timeframe: str, order: str = "ts") -> DataFrame:
+    """DQ-14 from the bars alone: only the one series is read and checked."""
+    one = bars.where((F.col(TICKER) == ticker) & (F.col(TIMEFRAME) == timeframe))
+    issues = quality_run(one, order=order, series_small=True).issues
+    return chart_data(one, ticker, timeframe, issues)
+
+
 def chart_data(bars: DataFrame, ticker: str, timeframe: str, issues: DataFrame) -> DataFrame:
     """DQ-14, SRT-3: the bars of one series in time order, with its issue text on every row."""
     one = (F.col(TICKER) == ticker) & (F.col(TIMEFRAME) == timeframe)

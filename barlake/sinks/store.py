@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlake.operators.filters import daily, in_timeframes, intraday
-from barlake.operators.keyed import with_time
+from barlake.operators.keyed import new_rows, with_time
 from barlake.plans.merge import delta_of
-from barlake.plans.quality import QualityTables, quality_counters, quality_tables
+from barlake.plans.quality import QualityTables, quality_counters, quality_tables, with_expected
 from barlake.schema import BAR_COLUMNS, BARS, DAILY_KEY, INTRADAY_KEY, TICKER, TIMEFRAME, TS, VALUES, YEAR
+from barlake.sinks.batches import read_batches, write_batch
+from barlake.sinks.series_state import add_to_state, has_state, rebuild_state
 from barlake.sources.lake import empty_bars, path_exists, read_bars
 
 LANDING_FILE = "landing_file"
-BATCH = "batch_id"
 RAW = T.StructType(
     [
         *[T.StructField(f.name, f.dataType) for f in BARS.fields],
@@ -42,46 +43,24 @@ def read_fetched(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.col("value").alias("line"), F.col(LANDING_FILE).cast("string").alias("source_file"))
 
 
-def _write_batch(rows: DataFrame, path: str, batch_id: str) -> int:
-    """Write rows as one batch of a store and return their number.
-
-    Repeating a batch replaces its rows; a batch without rows writes nothing. Spark escapes the id in
-    the folder's name, so readers filter on the column and never build the name themselves.
-    """
-    if not batch_id:
-        raise ValueError("a batch needs an id")
-    written = Observation()
-    counted = rows.withColumn(BATCH, F.lit(batch_id)).observe(written, F.count(F.lit(1)).alias("n"))
-    out = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    out.partitionBy(BATCH).parquet(path)
-    return written.get["n"]
-
-
-def _read_batch(spark: SparkSession, path: str, schema: T.StructType, batch_id: str | None) -> DataFrame:
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())])).parquet(path)
-    return (rows if batch_id is None else rows.where(F.col(BATCH) == batch_id)).drop(BATCH)
-
-
 def write_raw(cleaned: DataFrame, path: str, batch_id: str) -> int:
     """SNK-2: the cleaned lines of one fetch, replacing those of the same batch."""
-    return _write_batch(cleaned, path, batch_id)
+    return write_batch(cleaned, path, batch_id)
 
 
 def read_raw(spark: SparkSession, path: str, batch_id: str | None = None) -> DataFrame:
     """The raw store: one batch, for which only its folder is read, or all."""
-    return _read_batch(spark, path, RAW, batch_id)
+    return read_batches(spark, path, RAW, batch_id)
 
 
 def write_delta(delta: DataFrame, path: str, batch_id: str) -> int:
     """SNK-3: the delta of one batch. Repeating a batch replaces its own folder, an empty delta writes nothing."""
-    return _write_batch(delta.select(*BAR_COLUMNS), path, batch_id)
+    return write_batch(delta.select(*BAR_COLUMNS), path, batch_id)
 
 
 def read_delta(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
     """Bars of one delta; none if the batch added nothing."""
-    return _read_batch(spark, path, BARS, batch_id)
+    return read_batches(spark, path, BARS, batch_id)
 
 
 def in_storage_order(bars: DataFrame) -> DataFrame:
@@ -101,8 +80,10 @@ def write_snapshot(bars: DataFrame, path: str) -> None:
     in_storage_order(bars).write.mode("errorifexists").partitionBy(TIMEFRAME, YEAR).parquet(path)
 
 
-def merge_into_master(batch: DataFrame, master_path: str, delta_path: str, batch_id: str) -> None:
-    """PIP-2 against a stored master: write the delta, then append it.
+def merge_into_master(
+    batch: DataFrame, master_path: str, delta_path: str, batch_id: str, state_path: str | None = None
+) -> None:
+    """PIP-2 against a stored master: write the delta, then append it, then bring the series state up to date.
 
     Only the part of the master that can hold keys of the batch is read: its bar sizes and years
     (folders) and time range (file statistics). Safe to repeat after a failure at any point: until the append
@@ -124,8 +105,13 @@ def merge_into_master(batch: DataFrame, master_path: str, delta_path: str, batch
     delta = read_delta(spark, delta_path, batch_id)
     if written and (found := delta.count()) != written:
         raise RuntimeError(f"delta {batch_id!r}: {written} rows were written, {found} are read back")
+    # A master that grew before its state was kept gets one now, without the delta, which may be in it already.
+    if state_path and path_exists(spark, master_path) and not has_state(spark, state_path):
+        rebuild_state(new_rows(read_bars(spark, master_path), delta), state_path)
     # A repeated batch finds its old delta in place; the guard keeps the append idempotent.
     append_bars(delta_of(delta, master), master_path)
+    if state_path:
+        add_to_state(delta, state_path, batch_id)
 
 
 def copy_daily(bars: DataFrame, path: str) -> None:
@@ -134,6 +120,19 @@ def copy_daily(bars: DataFrame, path: str) -> None:
     out.partitionBy(TIMEFRAME, YEAR).parquet(path)
 
 
+def report_path(spark: SparkSession, path: str, table: str, run_id: str) -> str:
+    """Folder of one table of one run; the id is escaped by Spark's own rule, so it reads back as a column."""
+    if not run_id:
+        raise ValueError("a run needs an id")
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(run_id)
+    return f"{path}/{table}/run_id={escaped}"
+
+
+def read_report(spark: SparkSession, path: str, table: str, run_id: str) -> DataFrame:
+    """One table of one run: counters, issues, results or stats."""
+    return spark.read.parquet(report_path(spark, path, table, run_id))
+
+
 def write_quality(
     bars: DataFrame,
     path: str,
@@ -141,14 +140,19 @@ def write_quality(
     expected: DataFrame | None = None,
     file_errors: DataFrame | None = None,
     order: str = "ts",
+    counters: DataFrame | None = None,
 ) -> QualityTables:
-    """SNK-8: run the checks once, store the counters, and derive the other tables from them."""
+    """SNK-8: run the checks once, store the counters, and derive the other tables from them.
+
+    ``counters`` that are known already (from a quality state) take the place of a run over the bars.
+    """
     spark = bars.sparkSession
-    base = f"{path}/run_id={run_id}"
-    quality_counters(bars, expected, order).write.mode("overwrite").parquet(f"{base}/counters")
-    counters = spark.read.parquet(f"{base}/counters")
-    tables = quality_tables(counters, file_errors)
+    if counters is None:
+        counters = quality_counters(bars, expected, order)
+    else:
+        counters = with_expected(counters, expected)
+    counters.write.mode("overwrite").parquet(report_path(spark, path, "counters", run_id))
+    tables = quality_tables(read_report(spark, path, "counters", run_id), file_errors)
     for name in ("issues", "results", "stats"):
-        getattr(tables, name).write.mode("overwrite").parquet(f"{base}/{name}")
+        getattr(tables, name).write.mode("overwrite").parquet(report_path(spark, path, name, run_id))
     return tables
-

@@ -27,7 +27,7 @@ def _bar_times(column: pd.Series, timeframe: str) -> pd.Series:
     return pd.to_datetime(column, utc=True).dt.tz_localize(None)
 
 
-def _answer(fetcher: Fetcher, ticker: str, timeframe: str, period: str) -> dict[str, object]:
+def answer(fetcher: Fetcher, ticker: str, timeframe: str, period: str) -> dict[str, object]:
     """Columns of one plan row's answer; no columns if it is empty, one error row if it failed."""
     try:
         found = fetcher(ticker, timeframe, period)
@@ -44,7 +44,7 @@ def _answer(fetcher: Fetcher, ticker: str, timeframe: str, period: str) -> dict[
     return {TICKER: [ticker] * n, TIMEFRAME: [timeframe] * n, **columns, "error": [error] * n}
 
 
-def _as_table(answers: list[dict[str, object]]) -> pa.Table:
+def as_table(answers: list[dict[str, object]]) -> pa.Table:
     schema = pa.schema(
         [
             *[(c, pa.string()) for c in SERIES],
@@ -74,15 +74,15 @@ def fetch(plan: DataFrame, fetcher: Fetcher, tasks: int | None = None) -> DataFr
             waiting: list[dict[str, object]] = []
             rows = 0
             for ticker, timeframe, period in zip(*(column.to_pylist() for column in batch.columns)):
-                answer = _answer(fetcher, ticker, timeframe, period)
-                if answer:
-                    waiting.append(answer)
-                    rows += len(answer[TICKER])
+                found = answer(fetcher, ticker, timeframe, period)
+                if found:
+                    waiting.append(found)
+                    rows += len(found[TICKER])
                 if rows >= ROWS_PER_BATCH:
-                    yield from _as_table(waiting).to_batches()
+                    yield from as_table(waiting).to_batches()
                     waiting, rows = [], 0
             if waiting:
-                yield from _as_table(waiting).to_batches()
+                yield from as_table(waiting).to_batches()
 
     tasks = tasks or plan.sparkSession.sparkContext.defaultParallelism
     return plan.select(*SERIES, "period").repartition(tasks).mapInArrow(run, FETCHED)
@@ -101,5 +101,3 @@ def fetch_errors(fetched: DataFrame) -> DataFrame:
         F.col("error").alias("line"),
         *SERIES,
     )
-
-

@@ -16,6 +16,8 @@ from barlake.functions.parsing import cell_text, csv_cells, decoded_file_name, f
 from barlake.operators.lookup import BROADCAST_ROWS, attach
 from barlake.schema import DAILY, DAILY_KEY, INTRADAY, INTRADAY_KEY, SEQ, TICKER, TIMEFRAME, VALUES
 
+PLACE, BLOCK_START = "place", "block_start"
+
 
 def key_name(timeframe: Column) -> Column:
     """Name of the time column of a file: by its bar size."""
@@ -23,21 +25,40 @@ def key_name(timeframe: Column) -> Column:
 
 
 def as_landing_lines(text: DataFrame) -> DataFrame:
-    """Lines of a text scan (batch or stream) with their file."""
+    """Lines of a text scan (batch or stream) with their file and the byte at which their part of it starts."""
     return text.select(
         F.col("value").alias("line"),
         decoded_file_name(F.col("_metadata.file_name")).alias("source_file"),
+        F.col("_metadata.file_block_start").alias(BLOCK_START),
     )
 
 
+def with_place(lines: DataFrame) -> DataFrame:
+    """Lines with a ``place`` that rises along each file, taken where they are scanned.
+
+    Parts of a file are told apart by the byte they start at, whichever tasks read them in whatever order;
+    within a part lines count up. From then on the place is a value like any other: a shuffle
+    in between does not change it. Lines that were placed before keep their place. Lines that come
+    from no scan count up in the order they have.
+    """
+    if PLACE in lines.columns:
+        return lines
+    count = F.monotonically_increasing_id()
+    if BLOCK_START in lines.columns:
+        # Parts are at least 64 KB long; a task reads fewer than 2^33 lines.
+        part = F.shiftleft(F.shiftright(BLOCK_START, 16), 33)
+        count = part + count.bitwiseAND(F.lit((1 << 33) - 1))
+    return lines.withColumn(PLACE, count).drop(BLOCK_START)
+
+
 def read_landing(spark: SparkSession, path: str | list[str], timeframes: list[str] | None = None) -> DataFrame:
     """SRC-6, SRC-8, SRC-10: all lines of the ``*.csv`` files of the given bar sizes.
 
     The bar size is matched on the file name before any file is opened.
     """
     sizes = timeframes or [DAILY, *INTRADAY]
-    return as_landing_lines(
-        spark.read.option("pathGlobFilter", "*_{" + ",".join(sizes) + "}.csv").text(path)
+    return with_place(
+        as_landing_lines(spark.read.option("pathGlobFilter", "*_{" + ",".join(sizes) + "}.csv").text(path))
     )
 
 
@@ -56,17 +77,17 @@ def cells_by_column(lines: DataFrame, columns: list[str] | None = None, files_fi
     """PRJ-1, SRC-5: lines to named text cells, header rows removed.
 
     Adds ``key_text`` and one text column per entry of ``columns``, plus ``cells`` (all cells) and
-    ``has_header``. Rows of a file without a usable header keep NULL cells. ``seq`` follows the line
-    order of each file, since splits are scanned in file order.
+    ``has_header``. Rows of a file without a usable header keep NULL cells. ``seq`` is the place of the
+    line in its file (``with_place``).
 
     ``files_fit`` says whether a table with one row per file may be broadcast; by default its rows
     are counted first, which scans the text once more (``files_may_be_broadcast`` avoids that).
     """
     columns = columns or [c.capitalize() for c in VALUES]
     rows = (
-        with_file_keys(lines)
+        with_file_keys(with_place(lines))
+        .withColumnRenamed(PLACE, SEQ)
         .withColumn("cells", csv_cells(F.col("line")))
-        .withColumn(SEQ, F.monotonically_increasing_id())
         .withColumn("_is_header", F.array_contains(F.col("cells"), key_name(F.col(TIMEFRAME))))
         .withColumn("_is_header", F.coalesce("_is_header", F.lit(False)))
     )

@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from barlake.operators.lookup import BROADCAST_ROWS
-from barlake.plans.clean import bars_of, clean_landing
-from barlake.plans.workflow import Lake
+from barlake.plans.clean import clean_landing
+from barlake.plans.workflow import Lake, store_and_merge
 from barlake.schema import DAILY, INTRADAY
-from barlake.sinks.store import merge_into_master, read_raw, write_raw
 from barlake.sources.landing import as_landing_lines
 
 
@@ -39,9 +38,7 @@ def stream_landing(
     )
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        name = f"stream-{batch_id}"
-        write_raw(clean_landing(batch, strict=strict, files_fit=files_fit), lake.raw, name)
-        merge_into_master(bars_of(read_raw(batch.sparkSession, lake.raw, name)), lake.master, lake.delta, name)
+        store_and_merge(clean_landing(batch, strict=strict, files_fit=files_fit), lake, f"stream-{batch_id}")
 
     return (
         lines.writeStream.foreachBatch(merge)

@@ -120,7 +120,10 @@ def test_snapshot_needs_a_new_path(spark, bars_of_rows, tmp_path):
 def test_quality_tables_are_stored(spark, bars_of_rows, tmp_path):
     bars = bars_of_rows([bar("A", "1d", "2024-01-01"), bar("A", "1d", "2024-01-09", volume=0.0, seq=1)])
     tables = store.write_quality(bars, str(tmp_path), "r1")
-    base = f"{tmp_path}/run_id=r1"
-    assert spark.read.parquet(f"{base}/issues").count() == 2 == tables.issues.count()
-    assert spark.read.parquet(f"{base}/results").first()["status"] == "ISSUES"
-    assert spark.read.parquet(f"{base}/stats").first()["anomalies_detected"] == 2
+    table = lambda name: store.read_report(spark, str(tmp_path), name, "r1")
+    assert table("issues").count() == 2 == tables.issues.count()
+    assert table("results").first()["status"] == "ISSUES"
+    assert table("stats").first()["anomalies_detected"] == 2
+    # A run that is repeated replaces its tables, also by empty ones.
+    store.write_quality(bars.limit(0), str(tmp_path), "r1")
+    assert table("issues").count() == 0 == table("stats").count()

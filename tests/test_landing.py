@@ -105,3 +105,20 @@ def test_rename_first_column(spark):
     df = spark.createDataFrame([(1, 2)], "index int, Close int")
     assert rename_first_column(df, "1d").columns == ["Date", "Close"]
     assert rename_first_column(df, "5m").columns == ["Datetime", "Close"]
+
+
+def test_displaced_header_and_order_survive_a_shuffle(spark, tmp_path):
+    """The header lies below other lines, the file in many parts, and the lines are dealt anew before they are cut."""
+    rows = [f"2025-01-01 00:00:{i % 60:02d},{i},1,1,1,1" for i in range(20_000)]
+    (tmp_path / "A_5m.csv").write_text("Price,x\n2024-12-31,5,5,5,5,5\nDatetime,Close,High,Low,Open,Volume\n" + "\n".join(rows) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        lines = read_landing(spark, str(tmp_path)).repartition(7, "line")
+        cleaned = clean.clean_landing(lines).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    bars = sorted((r for r in cleaned if r["outcome"] == "bar"), key=lambda r: r["seq"])
+    assert [r["close"] for r in bars] == [float(i) for i in range(20_000)]
+    assert sorted(r["reason"] for r in cleaned if r["outcome"] != "bar") == ["before_header", "before_header"]
+    assert len({r["seq"] for r in cleaned}) == len(cleaned)

@@ -40,13 +40,17 @@ def deliveries(n=4):
     return [[r for b, r in rows if b == k] for k in range(n)]
 
 
-@pytest.mark.parametrize("series_small, batch_small", [(True, True), (False, False), (None, None)])
-def test_exact_form_follows_the_per_series_rules(spark, bars_of_rows, series_small, batch_small):
+@pytest.mark.parametrize("series_small", [True, False, None])
+def test_exact_form_follows_the_per_series_rules(spark, bars_of_rows, series_small):
     master, direct = empty_bars(spark), pd.DataFrame(columns=COLUMNS)
     for batch in deliveries():
-        merged = merge.merge_exact(master, bars_of_rows(batch), series_small, batch_small).master
+        merged = merge.merge_exact(master, bars_of_rows(batch), series_small).master
         got = rows_of(merged)
+        stored = set(zip(direct.ticker, direct.timeframe))
+        before = set(direct["seq"])
         direct = direct_merge(direct, pd.DataFrame(batch, columns=COLUMNS))
+        added = {r.seq for r in direct.itertuples() if r.seq not in before and (r.ticker, r.timeframe) in stored}
+        assert {r["seq"] for r in merge.merge_exact(master, bars_of_rows(batch), series_small).delta.collect()} == added
         assert sorted(r[-1] for r in got) == sorted(direct["seq"])
         master = bars_of_rows(merged.collect())
 
@@ -79,3 +83,19 @@ def test_replace_lets_revisions_win(bars_of_rows):
         ("2024-01-02", None),
         ("2024-01-03", 4.0),
     ]
+
+
+def test_exact_form_reads_each_side_twice(spark, tmp_path, bars_of_rows):
+    first, second = deliveries()[:2]
+    for name, rows in (("m", first), ("b", second)):
+        bars_of_rows(rows).write.parquet(str(tmp_path / name))
+    master, batch = (spark.read.parquet(str(tmp_path / name)) for name in ("m", "b"))
+    plan = merge.merge_exact(master, batch, series_small=True).master._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 4 and "SortMergeJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_rows_without_values_and_empty_sides(spark, bars_of_rows):
+    rows = [bar("A", "1d", "2024-01-01", None, 3), bar("A", "1d", "2024-01-01", 5.0, 4), bar("A", "1d", None, 1.0, 5)]
+    assert [r["close"] for r in merge.merge_exact(bars_of_rows(rows[:2]), bars_of_rows([bar("A", "1d", "2024-01-02", 7.0, 0)])).master.orderBy("ts").collect()] == [None, 7.0]
+    assert rows_of(merge.merge_exact(empty_bars(spark), bars_of_rows(rows)).master) == rows_of(bars_of_rows(rows[:2]))
+    assert rows_of(merge.merge_exact(bars_of_rows(rows[:2]), empty_bars(spark)).master) == rows_of(bars_of_rows(rows[:2]))

@@ -88,3 +88,44 @@ def test_bar_seconds(spark, label, seconds):
 
 def test_run_stamp(spark):
     assert one(spark, timing.run_stamp(timing.as_of_literal("2024-01-02 03:04:05"))) == "20240102_030405"
+
+
+FORMS = {
+    "2025": "2025-01-01 00:00:00",
+    "2025-10": "2025-10-01 00:00:00",
+    "20251001": "2025-10-01 00:00:00",
+    "20251001T093000": "2025-10-01 09:30:00",
+    "20251001 093000": "2025-10-01 09:30:00",
+    "20251001T093000-0400": "2025-10-01 13:30:00",
+    "2025/10/01": "2025-10-01 00:00:00",
+    "2025/1/5 9:30": "2025-01-05 09:30:00",
+    "10/01/2025": "2025-10-01 00:00:00",
+    "10/01/2025 09:30:00-04:00": "2025-10-01 13:30:00",
+    "10/1/2025 9:30 AM": "2025-10-01 09:30:00",
+    "10/1/2025 12:05:10 am": "2025-10-01 00:05:10",
+    "10/1/2025 12:05 PM": "2025-10-01 12:05:00",
+    "10/1/2025 4 p.m.": "2025-10-01 16:00:00",
+    "2025-10-01 4:30 PM": "2025-10-01 16:30:00",
+    "2025-10-01 09:30-04:00": "2025-10-01 13:30:00",
+    "2025-10-01T09:30Z": "2025-10-01 09:30:00",
+    "1 Oct 2025": "2025-10-01 00:00:00",
+    "1-Oct-2025 09:30:15": "2025-10-01 09:30:15",
+    "3rd september 2025": "2025-09-03 00:00:00",
+    "October 1, 2025": "2025-10-01 00:00:00",
+    "Oct 1, 2025 9:30": "2025-10-01 09:30:00",
+    "Sept. 30 2025": "2025-09-30 00:00:00",
+    "MAY 5, 2025": "2025-05-05 00:00:00",
+    " 2025-10-01 09:30:00 ": "2025-10-01 09:30:00",
+    "2025-10-01 09:30:00+05:30": "2025-10-01 04:00:00",
+}
+NO_TIMES = ["", " ", "09:30", "9:30 AM", "Octopus 1, 2025", "13/45/2025", "2025-13-01", "202510", "20251301", "10/1/2025 13:30 PM",
+            "2025-02-30", "12345", "May 2025x", "1 2 3", "nonsense", "20251001T99"]
+
+
+def test_time_forms(spark):
+    rows = [*FORMS, *NO_TIMES, None]
+    df = spark.createDataFrame([(r,) for r in rows], "t string")
+    got = df.select("t", parsing.to_utc_wall_time(F.col("t")).cast("string").alias("u"), parsing.to_bar_date(F.col("t")).cast("string").alias("d")).collect()
+    assert {r["t"]: r["u"] for r in got} == FORMS | dict.fromkeys([*NO_TIMES, None])
+    # The written day stays, whatever offset follows.
+    assert {r["t"]: r["d"] for r in got if r["d"]} == {t: u[:10] for t, u in FORMS.items()}

@@ -2,8 +2,9 @@
 
 import pytest
 
-from barlake.plans import workflow
+from barlake.plans import quality, workflow
 from barlake.plans.publish import Target
+from barlake.sinks.store import read_report
 from barlake.sources.lake import read_bars
 from barlake.sources.landing import read_landing
 from barlake.streaming.ingest import stream_landing
@@ -34,8 +35,8 @@ def test_full_run(spark, tmp_path):
         assert outcome(steps) == [(s, True, "done") for s in workflow.STEPS]
         assert read_bars(spark, lake.master).count() == 33
         assert [t.read(spark).count() for t in targets] == [15, 18, 33]
-    report = spark.read.parquet(f"{lake.reports}/run_id=b1/results")
-    assert report.count() == 6
+        assert read_report(spark, lake.reports, "results", batch).count() == 6
+    assert spark.read.parquet(f"{lake.reports}/results").select("run_id").distinct().count() == 2
 
 
 def fail():
@@ -92,11 +93,15 @@ def test_odd_batch_id_and_far_year(spark, tmp_path):
     assert [r["ok"] for r in steps.collect()] == [True] * 4
     assert read_bars(spark, lake.master).count() == 34
     assert read_bars(spark, lake.master).where("ticker = 'LESS'").count() == 0
-    base = f"{lake.reports}/run_id=2024-06-01T10:00:00"
-    stats = spark.read.parquet(f"{base}/stats").first()
+    stats = read_report(spark, lake.reports, "stats", "2024-06-01T10:00:00").first()
     assert stats["total_files"] == 8  # seven series, and the file that lacks a column
-    errors = spark.read.parquet(f"{base}/issues").where("type = 'processing_error'").collect()
+    errors = read_report(spark, lake.reports, "issues", "2024-06-01T10:00:00").where("type = 'processing_error'").collect()
     assert [(r["ticker"], r["message"]) for r in errors] == [("LESS_1d", "missing_column")]
+    # Once the file is mended it is no error any more, though its old lines stay in the raw store.
+    (tmp_path / "in" / "LESS_1d.csv").write_text("Date,Close,High,Low,Open,Volume\n2024-01-01,1,1,1,1,1\n")
+    workflow.run_lake(read_landing(spark, f"{tmp_path}/in"), lake, "mended/2")
+    assert read_report(spark, lake.reports, "issues", "mended/2").where("type = 'processing_error'").count() == 0
+    assert read_bars(spark, lake.master).where("ticker = 'LESS'").count() == 1
 
 
 def test_refresh_asks_once_per_plan_row(spark, tmp_path):
@@ -127,14 +132,48 @@ def test_refresh_asks_once_per_plan_row(spark, tmp_path):
     ]
     assert sorted(p.name.rsplit("_", 1)[0] for p in calls.iterdir()) == ["A_1d", "BAD_1d"]
     assert read_bars(spark, lake.master).count() == 1 == target.read(spark).count()
-    issues = spark.read.parquet(f"{lake.reports}/run_id=r_1/issues") if (tmp_path / "lake/quality_reports/run_id=r_1").exists() else None
-    assert issues is None or issues.where("type = 'processing_error'").count() == 1
+    issues = read_report(spark, lake.reports, "issues", "r/1").select("ticker", "timeframe", "type").collect()
+    assert [tuple(r) for r in issues] == [("BAD", "1d", "empty_data")]  # asked for, but there is no bar and no file
+    assert read_report(spark, lake.reports, "stats", "r/1").first()["total_files"] == 2
+    assert [r["run_id"] for r in spark.read.parquet(f"{lake.reports}/stats").collect()] == ["r/1"]
     broken = workflow.unreadable_series(spark, lake, "r/1")
     assert [tuple(r) for r in broken.collect()] == [("BAD", "1d")]
     plan = workflow.refresh_plan(lake, tickers, "2024-01-03 00:00:00", only_stale=True, unreadable=broken)
     assert as_sorted(plan, "ticker", "timeframe") == [("BAD", "1d")]
 
 
+def test_ids_that_look_alike_stay_apart(spark, tmp_path):
+    import pandas as pd
+
+    lake = workflow.Lake(f"{tmp_path}/lake")
+    tickers = spark.createDataFrame([("A",)], "ticker string")
+    for day, batch in ((2, "a/b"), (3, "a_2Fb"), (4, "a%2Fb")):
+        answer = lambda t, f, p, day=day: pd.DataFrame({"t": [f"2024-01-0{day}"], "Close": [float(day)], "High": 2, "Low": 1, "Open": 1, "Volume": 5})
+        workflow.refresh_lake(tickers, answer, lake, batch, "2024-03-01 00:00:00")
+    assert sorted(r["close"] for r in read_bars(spark, lake.master).collect()) == [2.0, 3.0, 4.0]
+    assert spark.read.parquet(lake.fetched).select("batch_id").distinct().count() == 3
+    steps = workflow.refresh_lake(tickers, answer, lake, None, "2024-03-01 10:00:00")
+    assert all(r["ok"] for r in steps.collect())
+    assert read_report(spark, lake.reports, "results", "20240301_100000").count() == 1
+
+
+def test_quality_state_takes_in_every_delta(spark, tmp_path):
+    """Batches merged without a check, by a stream or again, are in the next report."""
+    lake = workflow.Lake(f"{tmp_path}/lake")
+    for k, folder in enumerate(("in", "in2", "in3")):
+        write_landing(tmp_path / folder, 1 + 8 * k, 2)
+        workflow.collect_landing(read_landing(spark, f"{tmp_path}/{folder}"), lake, folder)
+        if k != 1:
+            workflow.check_master(spark, lake, f"r{k}")
+            got = read_report(spark, lake.reports, "counters", f"r{k}").drop("run_id")
+            want = quality.quality_counters(read_bars(spark, lake.master)).select(*got.columns)
+            assert as_sorted(got, *got.columns) == as_sorted(want, *got.columns)
+    query = stream_landing(spark, f"{tmp_path}/in", lake, f"{tmp_path}/check")
+    query.awaitTermination(180)
+    workflow.check_master(spark, lake, "again")
+    assert as_sorted(read_report(spark, lake.reports, "counters", "again").drop("run_id"), *got.columns) == as_sorted(got, *got.columns)
+
+
 def test_stream_then_batch_then_report(spark, tmp_path):
     write_landing(tmp_path / "in", 1, 1)
     lake = workflow.Lake(f"{tmp_path}/lake")
@@ -144,7 +183,7 @@ def test_stream_then_batch_then_report(spark, tmp_path):
     steps = workflow.run_lake(read_landing(spark, f"{tmp_path}/in2"), lake, "b1")
     assert [(r["ok"], r["detail"]) for r in steps.collect()][:2] == [(True, "done")] * 2
     assert read_bars(spark, lake.master).count() == 22
-    assert spark.read.parquet(f"{lake.reports}/run_id=b1/results").count() == 2
+    assert read_report(spark, lake.reports, "results", "b1").count() == 2
 
 
 @pytest.mark.parametrize("files_per_batch", [2, 100])
