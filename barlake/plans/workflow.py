@@ -30,7 +30,6 @@ from barlake.sources.universe import fetch_plan
 log = logging.getLogger(__name__)
 
 PLAN = T.StructType([T.StructField(c, T.StringType()) for c in (*SERIES, "period")])
-ANSWERS = T.StructType.fromDDL(FETCHED)
 STEPS = ["data_collection", "quality_checks", "split_publish", "combined_publish"]
 
 
@@ -135,7 +134,7 @@ def collect_fetch(plan: DataFrame, fetcher: Fetcher, lake: Lake, batch_id: str)
     spark = plan.sparkSession
     write_batch(plan.select(*SERIES, "period"), lake.plans, batch_id)
     write_batch(fetch(planned_series(spark, lake, batch_id), fetcher), lake.fetched, batch_id)
-    store_and_merge(cleaned_fetch(read_batches(spark, lake.fetched, ANSWERS, batch_id)), lake, batch_id)
+    store_and_merge(cleaned_fetch(read_batches(spark, lake.fetched, FETCHED, batch_id)), lake, batch_id)
 
 
 def planned_series(spark: SparkSession, lake: Lake, batch_id: str) -> DataFrame:

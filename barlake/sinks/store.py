@@ -12,7 +12,9 @@ from barlake.plans.merge import delta_of
 from barlake.plans.quality import QualityTables, quality_counters, quality_tables, with_expected
 from barlake.schema import BAR_COLUMNS, BARS, DAILY_KEY, INTRADAY_KEY, TICKER, TIMEFRAME, TS, VALUES, YEAR
 from barlake.sinks.batches import read_batches, write_batch
+from barlake.sinks.compaction import in_generations
 from barlake.sinks.series_state import add_to_state, has_state, rebuild_state
+from barlake.sources.generations import GENERATION
 from barlake.sources.lake import empty_bars, path_exists, read_bars
 
 LANDING_FILE = "landing_file"
@@ -72,12 +74,14 @@ def in_storage_order(bars: DataFrame) -> DataFrame:
 
 def append_bars(bars: DataFrame, path: str) -> None:
     """SNK-4: add bars to the master; rows already there are never rewritten."""
-    in_storage_order(bars).write.mode("append").partitionBy(TIMEFRAME, YEAR).parquet(path)
+    rows = in_generations(in_storage_order(bars), path)
+    rows.write.mode("append").partitionBy(TIMEFRAME, YEAR, GENERATION).parquet(path)
 
 
 def write_snapshot(bars: DataFrame, path: str) -> None:
     """SNK-4, exact form: a whole master into a path that does not exist yet."""
-    in_storage_order(bars).write.mode("errorifexists").partitionBy(TIMEFRAME, YEAR).parquet(path)
+    rows = in_storage_order(bars).withColumn(GENERATION, F.lit(0))
+    rows.write.mode("errorifexists").partitionBy(TIMEFRAME, YEAR, GENERATION).parquet(path)
 
 
 def merge_into_master(

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import StructType
 
 from barlake.schema import SERIES
 from barlake.sources.fetch import FETCHED, Fetcher, answer, as_table
@@ -49,7 +50,8 @@ class PlanRows(InputPartition):
 class FetchReader(DataSourceReader):
     def __init__(self, plan: list[tuple[str, str, str]], fetcher: Fetcher, options: dict[str, str]):
         self.plan = plan
-        self.rows = int(options.get("rowsPerPartition", 1))
+        options = {name.lower(): value for name, value in options.items()}
+        self.rows = int(options.get("rowsperpartition", 1))
         if self.rows < 1:
             raise ValueError("rowsPerPartition has to be 1 or more")
         self.fetcher = with_retries(fetcher, int(options.get("retries", 2)), float(options.get("wait", 0.5)))
@@ -72,7 +74,7 @@ def fetch_source(plan: list[tuple[str, str, str]], fetcher: Fetcher, name: str =
         def name(cls) -> str:
             return name
 
-        def schema(self) -> str:
+        def schema(self) -> StructType:
             return FETCHED
 
         def reader(self, schema) -> FetchReader:

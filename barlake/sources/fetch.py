@@ -8,16 +8,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from barlake.schema import BAR_COLUMNS, DAILY, SEQ, SERIES, TICKER, TIMEFRAME, TS, VALUES
+from barlake.schema import BAR_COLUMNS, BARS, DAILY, SEQ, SERIES, TICKER, TIMEFRAME, TS, VALUES
 
 Fetcher = Callable[[str, str, str], pd.DataFrame]
 
 ROWS_PER_BATCH = 20_000
-FETCHED = (
-    "ticker string, timeframe string, ts timestamp_ntz, open double, high double, low double, "
-    "close double, volume double, seq bigint, error string"
-)
+FETCHED = T.StructType([*[T.StructField(f.name, f.dataType) for f in BARS.fields], T.StructField("error", T.StringType())])
 
 
 def _bar_times(column: pd.Series, timeframe: str) -> pd.Series:

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlake.schema import BAR_COLUMNS, BARS, TS, VALUES, YEAR
+from barlake.sources.generations import GENERATION, without_old_generations
 
-STORED = T.StructType([*BARS.fields, T.StructField(YEAR, T.IntegerType())])
+STORED = T.StructType([*BARS.fields, *[T.StructField(c, T.IntegerType()) for c in (YEAR, GENERATION)]])
 
 
 def empty_bars(spark: SparkSession) -> DataFrame:
@@ -24,9 +25,9 @@ def read_bars(
 
     The schema is given, never inferred: a store with daily bars only would otherwise read its
     ``timeframe=1d`` folders as the number 1.0. A time range prunes the year folders and, by file
-    statistics, the files inside them.
+    statistics, the files inside them. Of a folder that was rewritten only the highest generation is read.
     """
-    stored = spark.read.schema(STORED).parquet(path)
+    stored = without_old_generations(spark.read.schema(STORED).parquet(path), spark, path)
     for bound, year_test, ts_test in ((since, ">=", ">="), (until, "<=", "<=")):
         if bound is not None:
             stored = stored.where(f"{YEAR} {year_test} {bound.year} AND {TS} {ts_test} TIMESTAMP_NTZ '{bound}'")
