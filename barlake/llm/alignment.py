@@ -44,10 +44,10 @@ from barlake.llm.token_ids import RUNS
 SIDE_A = "byte_bpe_50k.json"
 SIDE_B = "piece_bpe_32k.model"
 SPACE = "▁"
-MEMO_UNITS = 200_000
+MEMO_UNITS = 100_000
 #: Bits of a pair's code: radix, rest of the A id, B id; and of a document's place in its chunk.
 RADIX_BITS, ID_BITS, PLACE_BITS = 4, 16, 16
-CHUNK_DOCS, CHUNK_BYTES, PIECE_BYTES = 2048, 4 << 20, 1 << 19
+CHUNK_DOCS, CHUNK_BYTES, PIECE_BYTES = 2048, 1 << 20, 1 << 18
 FAN_IN = 64
 #: Bytes of runs that one group of chunks may have.
 GROUP_BYTES = 128 << 20
@@ -84,6 +84,10 @@ class Aligner:
         self.size_a, self.spelt_a = spelling(self.bytes_a)
         self.size_b, self.spelt_b = spelling(self.bytes_b)
         self.memo_units = MEMO_UNITS
+        self.clear()
+
+    def clear(self) -> None:
+        """An empty memo."""
         self.place: dict[str, int] = {}
         self.written: list[str] = []
         self.good, self.uses = np.empty(0, bool), np.empty(0, np.int64)
@@ -315,6 +319,7 @@ def chunks(docs: DataFrame, side_a: str = SIDE_A, side_b: str = SIDE_B) -> DataF
                 row |= chunk_of(aligner(side_a, side_b), texts.slice(start, stop - start), sizes[start:stop])
                 yield pa.RecordBatch.from_arrays([pa.array([row[f.name]], f.type) for f in target], schema=target)
                 start, number = stop, number + 1
+        aligner(side_a, side_b).clear()  # the worker goes on to other stages
 
     return narrow.mapInArrow(run, _CHUNKS)
 
