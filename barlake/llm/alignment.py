@@ -44,10 +44,12 @@ from barlake.llm.token_ids import RUNS
 SIDE_A = "byte_bpe_50k.json"
 SIDE_B = "piece_bpe_32k.model"
 SPACE = "▁"
-MEMO_UNITS = 100_000
+MEMO_UNITS = 250_000
+#: Units that go through a tokenizer as one text.
+JOINED = 200
 #: Bits of a pair's code: radix, rest of the A id, B id; and of a document's place in its chunk.
 RADIX_BITS, ID_BITS, PLACE_BITS = 4, 16, 16
-CHUNK_DOCS, CHUNK_BYTES, PIECE_BYTES = 2048, 1 << 20, 1 << 18
+CHUNK_DOCS, CHUNK_BYTES, PIECE_BYTES = 2048, 2 << 20, 1 << 19
 FAN_IN = 64
 #: Bytes of runs that one group of chunks may have.
 GROUP_BYTES = 128 << 20
@@ -83,53 +85,68 @@ class Aligner:
             raise ValueError("pieces that span words or lines are not supported")
         self.size_a, self.spelt_a = spelling(self.bytes_a)
         self.size_b, self.spelt_b = spelling(self.bytes_b)
+        # What is written for an id inside a group, and as the last of its side in the group.
+        ids = [f"{i}{mark}" for n, last in ((len(self.bytes_a), "|"), (len(self.bytes_b), ";")) for i in range(n) for mark in (",", last)]
+        self.decimals = pa.array(ids, pa.large_string())
         self.memo_units = MEMO_UNITS
         self.clear()
 
     def clear(self) -> None:
         """An empty memo."""
         self.place: dict[str, int] = {}
-        self.written: list[str] = []
         self.good, self.uses = np.empty(0, bool), np.empty(0, np.int64)
         self.counts = np.empty((len(_COUNTS), 0), np.int64)
-        self.links = np.empty(0, np.int64)
+        self.links, self.marks = np.empty(0, np.int64), np.empty(0, np.int32)
 
     def forget(self) -> None:
         """Keep the half of the memo that was used most, and let older uses fade."""
         kept = np.sort(np.argsort(-self.uses, kind="stable")[: self.memo_units // 2])
-        names, sizes = list(self.place), self.counts[3]
-        self.links = gathered(self.links, (np.cumsum(sizes) - sizes)[kept], sizes[kept])
+        names = list(self.place)
+        self.links = gathered(self.links, *chosen(self.counts[3], kept))
+        self.marks = gathered(self.marks, *chosen(self.counts[0] + self.counts[1], kept))
         self.place = {names[i]: at for at, i in enumerate(kept.tolist())}
-        self.written = [self.written[i] for i in kept.tolist()]
         self.good, self.counts, self.uses = self.good[kept], self.counts[:, kept], self.uses[kept] // 2
 
-    def spells(self, texts: list[str], side_a: list[list[int]], side_b: list[list[int]]) -> np.ndarray:
-        """Which texts both sides spell byte for byte: all at once, or one by one where not all are."""
-        want = np.frombuffer("".join(texts).encode(), np.uint8)
+    def spells(self, texts: list[str], n_a: np.ndarray, a: np.ndarray, n_b: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which texts both sides spell byte for byte."""
+        want = [t.encode() for t in texts]
+        sizes, whole = np.fromiter(map(len, want), np.int64, len(want)), np.frombuffer(b"".join(want), np.uint8)
+        good = np.ones(len(texts), bool)
+        for n, ids, size, (flat, starts) in ((n_a, a, self.size_a, self.spelt_a), (n_b, b, self.size_b, self.spelt_b)):
+            spelt = gathered(flat, starts[ids], size[ids])
+            if len(spelt) == len(whole) and np.array_equal(spelt, whole) and np.array_equal(added(size[ids], n), sizes):
+                continue
+            ends = np.cumsum(added(size[ids], n)).tolist()  # not all of them, so one by one
+            each = (spelt[s:e].tobytes() == w for s, e, w in zip([0, *ends], ends, want, strict=False))
+            good &= np.fromiter(each, bool, len(texts))
+        return good
+
+    def ids_a(self, texts: list[str], joined: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of each text, ids) of side A. Texts that fall apart anyway are encoded JOINED at a time, which is
+        much faster; the bytes that ids stand for say where each text ends."""
+        step = JOINED if joined else 1
+        parts = ["".join(texts[at : at + step]) for at in range(0, len(texts), step)] if joined else texts
+        found = [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(found), np.int64)
+        if not joined:
+            return np.fromiter(map(len, found), np.int64, len(texts)), ids
         ends = np.cumsum(np.fromiter((len(t.encode()) for t in texts), np.int64, len(texts)))
-        for side, sizes, (flat, starts) in ((side_a, self.size_a, self.spelt_a), (side_b, self.size_b, self.spelt_b)):
-            ids = np.fromiter(chain.from_iterable(side), np.int64)
-            spelt = np.concatenate([[0], np.cumsum(sizes[ids])])[np.cumsum(np.fromiter(map(len, side), np.int64, len(side)))]
-            if not np.array_equal(spelt, ends) or not np.array_equal(gathered(flat, starts[ids], sizes[ids]), want):
-                break
-        else:
-            return np.ones(len(texts), bool)
-        a, b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
-        each = zip(texts, side_a, side_b, strict=True)
-        return np.fromiter((b"".join(map(a, x)) == t.encode() == b"".join(map(b, y)) for t, x, y in each), bool, len(texts))
+        return np.diff(np.searchsorted(np.cumsum(self.size_a[ids]), ends, side="right"), prepend=0), ids
 
-    def align(self, texts: list[str], side_b: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
-        """(good, counts, links, groups) of texts of side A and their ids of side B.
+    def align(
+        self, texts: list[str], side_b: list[list[int]], joined: bool = False
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(good, counts, links, marks) of texts of side A and their ids of side B.
 
-        ``good`` says whether both sides spell the text; others have no tokens. ``links`` are the codes
-        of the linked pairs, text by text; ``groups`` are written out.
+        ``good`` says whether both sides spell the text; others have no tokens. ``links`` are the codes of the
+        linked pairs, text by text; ``marks`` are the places in ``decimals`` of what is written for the groups.
         """
-        side_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        good = self.spells(texts, side_a, side_b)
-        for i in np.flatnonzero(~good).tolist():
-            side_a[i] = side_b[i] = []
-        n_a, n_b = (np.fromiter(map(len, side), np.int64, len(texts)) for side in (side_a, side_b))
-        a, b = (np.fromiter(chain.from_iterable(side), np.int64) for side in (side_a, side_b))
+        n_a, a = self.ids_a(texts, joined)
+        n_b = np.fromiter(map(len, side_b), np.int64, len(texts))
+        b = np.fromiter(chain.from_iterable(side_b), np.int64)
+        good = self.spells(texts, n_a, a, n_b, b)
+        if not good.all():
+            a, b, n_a, n_b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)], n_a * good, n_b * good
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
         ends = ends[np.flatnonzero(np.diff(ends, prepend=0))]
@@ -139,17 +156,29 @@ class Aligner:
         last = np.concatenate([[0], ends_a])[np.cumsum(n_a)]
         n_links = np.diff(np.searchsorted(ends, last, side="right"), prepend=0)
         n_groups = np.diff(np.searchsorted(ends[both], last, side="right"), prepend=0)
-        names_a, names_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        to_a, to_b = (at_a[both] + 1).tolist(), (at_b[both] + 1).tolist()
-        join = ",".join
-        groups = [
-            f"{names_a[p]}|{names_b[q]}" if r - p == 1 == s - q else f"{join(names_a[p:r])}|{join(names_b[q:s])}"
-            for p, q, r, s in zip([0, *to_a], [0, *to_b], to_a, to_b, strict=False)
-        ]
-        cuts = np.cumsum(n_groups).tolist()
-        written = [groups[s] if e - s == 1 else ";".join(groups[s:e]) for s, e in zip([0, *cuts], cuts, strict=False)]
         counts = np.array([n_a, n_b, n_groups, n_links], np.int64).reshape(len(_COUNTS), -1)
-        return good, counts, pair_codes(a[at_a], b[at_b]), written
+        return good, counts, pair_codes(a[at_a], b[at_b]), self.marked(a, b, at_a[both], at_b[both])
+
+    def marked(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> np.ndarray:
+        """Places in ``decimals``, group by group: a group's ids of side A, then those of side B."""
+        out = np.empty(len(a) + len(b), np.int32)
+        ending = np.zeros(len(a), np.int64)
+        ending[last_a] = 1
+        group = np.cumsum(ending) - ending
+        out[np.arange(len(a)) + np.concatenate([[0], last_b + 1])[group]] = 2 * a + ending
+        ending = np.zeros(len(b), np.int64)
+        ending[last_b] = 1
+        group = np.cumsum(ending) - ending
+        out[np.arange(len(b)) + (last_a + 1)[group]] = 2 * (len(self.bytes_a) + b) + ending
+        return out
+
+    def digests(self, marks: np.ndarray, sizes: np.ndarray) -> list[str]:
+        """Of each text what is written for its groups, hashed; texts without tokens have none."""
+        written = self.decimals.take(pa.array(marks))
+        ends = np.frombuffer(written.buffers()[1], np.int64, len(marks) + 1)[np.concatenate([[0], np.cumsum(sizes)])].tolist()
+        data = memoryview(written.buffers()[2] or b"")
+        # Without the mark behind the last group.
+        return [hashlib.sha256(data[s : e - 1]).hexdigest() if e > s else "" for s, e in zip(ends, ends[1:], strict=False)]
 
     def units(self, words: list[str]) -> np.ndarray:
         """Places of these different units in the memo; unknown ones are aligned and added."""
@@ -163,11 +192,11 @@ class Aligner:
             lines = [w[0] == "\n" for w in new]
             ids = [x[1:] if line else x for x, line in zip(ids, lines, strict=True)]
             texts = [w if line else " " + w for w, line in zip(new, lines, strict=True)]
-            good, counts, links, written = self.align(texts, ids)
+            good, counts, links, marks = self.align(texts, ids, joined=True)
             self.good, self.links = np.concatenate([self.good, good]), np.concatenate([self.links, links])
+            self.marks = np.concatenate([self.marks, marks])
             self.counts = np.concatenate([self.counts, counts], axis=1)
             self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
-            self.written += written
             found[missing] = np.arange(n, n + len(new))
             self.place.update(zip(new, range(n, n + len(new)), strict=True))
         return found
@@ -182,15 +211,11 @@ class Aligner:
         places = known[at]
         offsets = np.asarray(split.offsets).astype(np.int64) - split.offsets[0].as_py()
         good = np.logical_and.reduceat(self.good[places], offsets[:-1])
-        units = np.diff(offsets)
-        kept = np.repeat(good, units)
-        counts = np.add.reduceat(np.where(kept, self.counts[:, places], 0), offsets[:-1], axis=1)
-        starts = np.cumsum(self.counts[3]) - self.counts[3]
-        links = gathered(self.links, starts[places[kept]], self.counts[3, places[kept]])
-        written, listed = self.written.__getitem__, places.tolist()
-        ends = offsets.tolist()
-        digests = [_digest(";".join(map(written, listed[s:e]))) if g else "" for s, e, g in zip(ends, ends[1:], good.tolist(), strict=False)]
-        return counts, links, digests
+        used = places if good.all() else places[np.repeat(good, np.diff(offsets))]
+        counts = np.add.reduceat(self.counts[:, places], offsets[:-1], axis=1) * good
+        links = gathered(self.links, *chosen(self.counts[3], used))
+        marks = gathered(self.marks, *chosen(self.counts[0] + self.counts[1], used))
+        return counts, links, self.digests(marks, counts[0] + counts[1])
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
         """(counts, links, owners, digests): by text; the codes of all links, and the text of each."""
@@ -207,15 +232,15 @@ class Aligner:
             if part is None:
                 at = np.array([i for i in at.tolist() if texts[i].as_py()], np.int64)
                 whole = [texts[i].as_py() for i in at.tolist()]
-                good, found, codes, written = self.align([" " + t for t in whole], self.b.encode(whole, num_threads=1))
-                marks = [_digest(w) if g else "" for w, g in zip(written, good.tolist(), strict=True)]
+                _, found, codes, marks = self.align([" " + t for t in whole], self.b.encode(whole, num_threads=1))
+                hashed = self.digests(marks, found[0] + found[1])
             elif len(at):
-                found, codes, marks = self.plain(part)
+                found, codes, hashed = self.plain(part)
             if len(at):
                 counts[:, at] = found
                 links.append(codes)
                 owners.append(np.repeat(at, found[3]))
-                for i, mark in zip(at.tolist(), marks, strict=True):
+                for i, mark in zip(at.tolist(), hashed, strict=True):
                     digests[i] = mark
         return counts, np.concatenate(links), np.concatenate(owners), digests
 
@@ -226,8 +251,16 @@ def spelling(names: list[bytes]) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarr
     return sizes, (np.frombuffer(b"".join(names), np.uint8), np.cumsum(sizes) - sizes)
 
 
-def _digest(written: str) -> str:
-    return hashlib.sha256(written.encode()).hexdigest()
+def chosen(sizes: np.ndarray, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, sizes) of the chosen ones of runs that lie one behind the other."""
+    return (np.cumsum(sizes) - sizes)[kept], sizes[kept]
+
+
+def added(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of runs of the given sizes."""
+    ends = np.cumsum(sizes)
+    upto = np.concatenate([[0], np.cumsum(values)])
+    return upto[ends] - upto[ends - sizes]
 
 
 def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
