@@ -34,6 +34,8 @@ PENALTY = 0.5
 LEAST_SCORE = 0.5
 BLOCK_CHARS = 8_000_000
 CELLS = 2_000_000
+#: An odd number that spreads word numbers over 64 bits. Equal hashes of other n-grams only cost an alignment.
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _MARKS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
@@ -54,25 +56,23 @@ class Items:
         return max((len(w) for _, w in self.items), default=0)
 
     def keys(self, ids: np.ndarray) -> np.ndarray:
-        """One number for each NGRAM of word numbers; -1 where a word is not of the benchmark."""
+        """A hash of 63 bits for each NGRAM of word numbers; -1 where a word is not of the benchmark."""
         n = len(ids) - NGRAM + 1
         if n <= 0:
             return np.empty(0, np.int64)
-        out, known = np.zeros(n, np.int64), np.ones(n, bool)
+        out, known = np.zeros(n, np.uint64), np.ones(n, bool)
         for k in range(NGRAM):
             part = ids[k : k + n]
-            out = out * (len(self.vocabulary) + 1) + part
+            out = (out ^ part.astype(np.uint64)) * FACTOR
+            out ^= out >> np.uint64(32)
             known &= part > 0
-        out[~known] = -1
-        return out
+        return np.where(known, (out >> np.uint64(1)).astype(np.int64), -1)
 
 
 def build(rows: list[tuple[int | None, str]]) -> Items:
     split = sorted({(i, tuple(words_of(t or ""))) for i, t in rows}, key=repr)
     split = [(i, w) for i, w in split if len(w) >= NGRAM]
     vocabulary = {w: n for n, w in enumerate(sorted({w for _, ws in split for w in ws}), start=1)}
-    if len(vocabulary) >= 1 << 20:
-        raise ValueError("a block of items has too many words; lower BLOCK_CHARS")
     items = [(i, [vocabulary[w] for w in ws]) for i, ws in split]
     bare = Items(vocabulary, items, np.empty(0, np.int64))
     grams = np.unique(np.concatenate([bare.keys(np.array(w)) for _, w in items])) if items else bare.grams

@@ -288,6 +288,17 @@ def test_blocks_of_items_give_the_same(spark, documents, small_sf, monkeypatch):
     assert sorted(decontamination.leaks(documents, bench).collect()) == whole and whole
 
 
+def test_more_words_than_fit_packed_numbers():
+    words = [f"w{i}" for i in range((1 << 20) + 1)]
+    items = decontamination.build([(1, " ".join(words)), (2, "w5 w6 w7 other")])
+    keys = items.keys(np.array(items.items[0][1]))
+    assert len(items.vocabulary) == len(words) + 1
+    assert keys.min() >= 0 and len(np.unique(keys)) == len(keys) == len(words) - 2
+    numbers, ends = decontamination.numbered(items, ["so w5 w6 w7 it is", "w1 w2", ""])
+    places, found = decontamination.found_grams(items, numbers, ends, items.grams)
+    assert places.tolist() == [1] and found[0] in items.keys(np.array(items.items[1][1]))
+
+
 def test_every_stretch_has_a_seed():
     items = decontamination.build([(1, "a b c d e f g h i j")])
     common = {int(g): 10**6 for g in items.grams}
