@@ -183,6 +183,12 @@ def _first(source: str, order: str = "seq") -> str:
 
 
 NEW = ("nw", f"SELECT {BAR} FROM batch b WHERE NOT EXISTS (SELECT 1 FROM master m WHERE {SAME_KEY})")
+FRESH = (
+    "fresh",
+    "SELECT b.* FROM bars b LEFT JOIN (SELECT ticker AS mt, timeframe AS mf, max(ts) AS mark FROM master "
+    "WHERE ts < TIMESTAMP '2024-01-16' GROUP BY ticker, timeframe) AS m ON ticker = mt AND timeframe = mf "
+    "WHERE ts IS NOT NULL AND (mark IS NULL OR ts > mark)",
+)
 FRESH_STATE = (
     "SELECT ticker, timeframe, latest, "
     "CAST(floor((epoch_us({as_of}) - epoch_us(latest)) / 1000000.0) AS BIGINT) AS age_seconds, state, "
@@ -425,13 +431,61 @@ def oracle_sql() -> dict[str, str]:
         "publish_combined_increment": _with(
             'SELECT ticker, timeframe, ts AS "timestamp", open, high, low, close, volume FROM (' + _first("fresh") + ") AS f",
             MASTER,
+            FRESH,
+        ),
+        "stored_master": _with(f"{_first('master')} UNION ALL {_first('nw')}", MASTER, BATCH, NEW),
+        "stored_delta": _with(_first("nw"), MASTER, BATCH, NEW),
+        "stored_series_state": _with(
+            "SELECT ticker, timeframe, count(*) AS records, min(ts) AS first_ts, max(ts) AS latest_ts "
+            f"FROM ({_first('master')} UNION ALL {_first('nw')}) AS m GROUP BY ticker, timeframe",
+            MASTER,
+            BATCH,
+            NEW,
+        ),
+        "stored_quality": _with(
+            "SELECT * FROM counters",
+            MASTER,
+            BATCH,
+            NEW,
+            ("merged", f"{_first('master')} UNION ALL {_first('nw')}"),
+            *_counters(by_time, "merged"),
+        ),
+        "compacted_master": _with(f"SELECT {BAR} FROM bars WHERE ts IS NOT NULL"),
+        "stored_raw": _with(
+            "SELECT ticker, timeframe, ts, open, high, low, close, volume FROM parsed "
+            "WHERE event_id % 97 <> 0 AND event_id % 89 <> 0",
+            *_landing(),
+        ),
+        "landing_files": _with("SELECT ticker, timeframe, ts, open, high, low, close, volume FROM bars WHERE ts IS NOT NULL"),
+        "daily_copy": _with(f"SELECT {BAR} FROM bars WHERE timeframe = '1d' AND ts IS NOT NULL"),
+        "stored_report": _with(
+            "SELECT ticker, timeframe, records, issues, status, issue_text FROM results", *_issues()
+        ),
+        "published_table": _with(
+            'SELECT ticker, timeframe, ts AS "timestamp", open, high, low, close, volume FROM (SELECT * FROM master '
+            f"WHERE ts < TIMESTAMP '2024-01-16' UNION ALL {_first('fresh')}) AS f",
+            MASTER,
+            FRESH,
+        ),
+        "published_buckets": _with(
+            f"SELECT {BAR} FROM master UNION ALL {_first('late')}",
+            MASTER,
+            BATCH,
             (
-                "fresh",
-                "SELECT b.* FROM bars b LEFT JOIN (SELECT ticker AS mt, timeframe AS mf, max(ts) AS mark FROM master "
-                "WHERE ts < TIMESTAMP '2024-01-16' GROUP BY ticker, timeframe) AS m ON ticker = mt AND timeframe = mf "
-                "WHERE ts IS NOT NULL AND (mark IS NULL OR ts > mark)",
+                "late",
+                "SELECT b.* FROM batch b LEFT JOIN (SELECT ticker AS mt, timeframe AS mf, max(ts) AS mark FROM master "
+                "GROUP BY ticker, timeframe) AS m ON ticker = mt AND timeframe = mf WHERE mark IS NULL OR ts > mark",
             ),
         ),
+        "full_run": _with(
+            "SELECT step, TRUE AS ok, detail, n AS rows FROM ("
+            "SELECT 'data_collection' AS step, 'done' AS detail, (SELECT count(*) FROM keys) AS n UNION ALL "
+            "SELECT 'quality_checks', 'done', (SELECT count(*) FROM (SELECT DISTINCT ticker, timeframe FROM keys) AS s) UNION ALL "
+            "SELECT 'split_publish', 'disabled', CAST(NULL AS BIGINT) UNION ALL "
+            "SELECT 'combined_publish', 'done', (SELECT count(*) FROM keys)) AS steps",
+            *_landing(),
+            ("keys", "SELECT DISTINCT ticker, timeframe, ts FROM parsed WHERE event_id % 97 <> 0 AND event_id % 89 <> 0"),
+        ),
         "daily_subset": _with(f"SELECT {BAR} FROM bars WHERE timeframe = '1d'"),
         "pluggable_fetch": vendor,
         "fetch_as_source": vendor,

@@ -36,8 +36,3 @@ def outliers() -> str:
 def time_gaps() -> str:
     tail = f"CASE WHEN {TIMEFRAME} = '{DAILY}' THEN ' gaps > 3 days' ELSE ' gaps' END"
     return f"concat('Large time gaps detected: ', n_gaps, {tail})"
-
-
-def grouped_digits(count: str) -> str:
-    """Thousands separators for reports."""
-    return f"format_number({count}, 0)"

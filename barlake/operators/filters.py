@@ -113,9 +113,8 @@ def combined_publish_form(bars: DataFrame) -> DataFrame:
 
 
 def keys_of_published(table: DataFrame) -> DataFrame:
-    """SCL-5: published rows of either form as bar keys with zone-free times."""
+    """SCL-5, PRJ-2, PRJ-6: published rows of either form as bar keys with zone-free times."""
     if has_columns(table.columns, "timestamp"):
         return table.select(TICKER, TIMEFRAME, drop_zone(F.col("timestamp")).alias(TS))
-    return table.select(
-        F.col("Ticker").alias(TICKER), F.col("Timeframe").alias(TIMEFRAME), drop_zone(F.col("Date")).alias(TS)
-    ).select(*KEY)
+    time = F.col(time_column(table.columns))
+    return table.select(F.col("Ticker").alias(TICKER), F.col("Timeframe").alias(TIMEFRAME), drop_zone(time).alias(TS)).select(*KEY)

@@ -14,7 +14,7 @@ from barlake.functions.parsing import file_stem, ticker_of, timeframe_of
 from barlake.functions.timing import as_of_literal, run_stamp
 from barlake.operators.filters import daily, intraday
 from barlake.operators.freshness import daily_freshness, intraday_freshness, needs_refresh, stale_part_of
-from barlake.plans.clean import bars_of, clean_landing, cleaned_fetch
+from barlake.plans.clean import bars_of, clean_landing, cleaned_fetch, missing_of
 from barlake.plans.publish import Target, publish_combined, publish_split
 from barlake.plans.quality_state import counters_of, take_in_deltas
 from barlake.schema import SERIES, TICKER, TIMEFRAME
@@ -55,6 +55,10 @@ class Lake:
     def files(self) -> str:
         return f"{self.base}/file_states"
 
+    @property
+    def missing(self) -> str:
+        return f"{self.base}/missing_values"
+
     @property
     def quality(self) -> str:
         return f"{self.base}/quality_state"
@@ -121,10 +125,12 @@ def collect_landing(lines: DataFrame, lake: Lake, batch_id: str, strict: bool =
 
 
 def store_and_merge(cleaned: DataFrame, lake: Lake, batch_id: str) -> None:
-    """Cleaned lines to the raw store, their files' states, and the master with its delta and series state."""
+    """Cleaned lines to the raw store, their files' states, the bars that lack a value (FLT-3), and the master
+    with its delta and series state."""
     write_raw(cleaned, lake.raw, batch_id)
     stored = read_raw(cleaned.sparkSession, lake.raw, batch_id)
     add_file_states(stored, lake.files, batch_id)
+    write_batch(missing_of(stored), lake.missing, batch_id)
     merge_into_master(bars_of(stored), lake.master, lake.delta, batch_id, lake.state)
 
 

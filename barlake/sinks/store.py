@@ -10,11 +10,12 @@ from barlake.operators.filters import daily, in_timeframes, intraday
 from barlake.operators.keyed import new_rows, with_time
 from barlake.plans.merge import delta_of
 from barlake.plans.quality import QualityTables, quality_counters, quality_tables, with_expected
-from barlake.schema import BAR_COLUMNS, BARS, DAILY_KEY, INTRADAY_KEY, TICKER, TIMEFRAME, TS, VALUES, YEAR
+from barlake.schema import BAR_COLUMNS, BARS, DAILY, TICKER, TIMEFRAME, TS, VALUES, YEAR
 from barlake.sinks.batches import read_batches, write_batch
 from barlake.sinks.compaction import in_generations
 from barlake.sinks.series_state import add_to_state, has_state, rebuild_state
 from barlake.sources.generations import GENERATION
+from barlake.sources.landing import rename_first_column
 from barlake.sources.lake import empty_bars, path_exists, read_bars
 
 LANDING_FILE = "landing_file"
@@ -29,13 +30,14 @@ RAW = T.StructType(
 
 
 def write_fetched(bars: DataFrame, path: str) -> None:
-    """SNK-1: fetched bars as headed CSV text into a landing zone, one folder per series file name."""
-    for part, key in ((daily(bars), DAILY_KEY), (intraday(bars), INTRADAY_KEY)):
-        named = part.select(
-            F.col(TS).alias(key),
+    """SNK-1, SRC-5: fetched bars as headed CSV text into a landing zone, one folder per series file name."""
+    for part, family in ((daily(bars), DAILY), (intraday(bars), "intraday")):
+        columns = part.select(
+            TS,
             *[F.col(c).alias(c.capitalize()) for c in VALUES],
             F.concat(F.col(TICKER), F.lit("_"), F.col(TIMEFRAME), F.lit(".csv")).alias(LANDING_FILE),
         )
+        named = rename_first_column(columns, family)
         named.write.mode("append").option("header", True).partitionBy(LANDING_FILE).csv(path)
 
 

@@ -142,6 +142,15 @@ def test_refresh_asks_once_per_plan_row(spark, tmp_path):
     assert as_sorted(plan, "ticker", "timeframe") == [("BAD", "1d")]
 
 
+def test_bars_without_a_value_are_listed(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "A_1d.csv").write_text("Date,Close,High,Low,Open,Volume\n2024-01-01,1,1,1,1,\n2024-01-02,1,1,1,1,1\n")
+    lake = workflow.Lake(f"{tmp_path}/lake")
+    workflow.collect_landing(read_landing(spark, f"{tmp_path}/in"), lake, "b")
+    listed = spark.read.parquet(lake.missing).collect()
+    assert [(r["source_file"], str(r["ts"])[:10], r["volume"], r["batch_id"]) for r in listed] == [("A_1d.csv", "2024-01-01", None, "b")]
+
+
 def test_ids_that_look_alike_stay_apart(spark, tmp_path):
     import pandas as pd
 
