@@ -20,7 +20,7 @@ from barlake.schema import DAILY, DAILY_GAP_DAYS, GAP_FACTOR, KEY, SERIES, TIMEF
 
 
 #: Binary digits by which steps are counted on the way to their median.
-COARSE, FINE = 8, 21
+CODE_BITS = 13
 _KEYS = ", ".join(SERIES)
 _MICROS = "unix_micros(CAST({} AS TIMESTAMP))"
 
@@ -95,59 +95,70 @@ def step_histogram(
 
 
 def _code(bits: int, step: str = "step_us") -> str:
-    """A number that rises with the step: its length in binary digits, then the first ``bits`` of them."""
+    """A number that rises with the step: its length in binary digits, then the first ``bits`` of them; -1 for none.
+
+    It is never NULL, so no filter is derived from it that would tell the uses of a histogram apart:
+    all of them read one shuffle of it.
+    """
     length = f"CAST(length(bin({step})) AS BIGINT)"
-    return f"shiftleft({length}, {bits}) + shiftright({step}, CAST(greatest({length} - {bits}, 0) AS INT))"
+    return f"coalesce(shiftleft({length}, {bits}) + shiftright({step}, CAST(greatest({length} - {bits}, 0) AS INT)), -1L)"
 
 
-def _at_ranks(steps: DataFrame, code: str) -> DataFrame:
-    """(series, low, high, before, want_low, want_high): the codes that hold the wanted ranks of each series.
+def _at_ranks(steps: DataFrame) -> DataFrame:
+    """(series, low, high, want_low, want_high): the codes that hold the wanted ranks of each series, and the
+    ranks that are wanted among their steps.
 
-    ``steps`` is (series, step_us, n) and the ranks wanted among them, or none for the two middle ones.
-    Per series only the counts of its codes are gathered.
+    ``steps`` is (series, step_us, n, code) and the ranks wanted among them, or none for the two middle ones.
+    A code comes with its least and largest step; per series only its codes are gathered.
     """
-    wanted = "want_low" in steps.columns
-    counts = steps.groupBy(*SERIES, F.expr(code).alias("code")).agg(
-        F.expr("sum(n) AS n"), *[F.expr(f"any_value({c}) AS {c}") for c in ("want_low", "want_high") if wanted]
+    wanted = [c for c in ("want_low", "want_high") if c in steps.columns]
+    counts = steps.groupBy(*SERIES, "code").agg(
+        F.expr("sum(n) AS n"),
+        F.expr("min(step_us) AS least"),
+        F.expr("max(step_us) AS most"),
+        *[F.expr(f"any_value({c}) AS {c}") for c in wanted],
     )
+    entry = "named_struct('code', code, 'n', n, 'least', least, 'most', most)"
     listed = counts.groupBy(*SERIES).agg(
-        F.expr("array_sort(collect_list(named_struct('code', code, 'n', n))) AS codes"),
-        *(
-            [F.expr("any_value(want_low) AS want_low"), F.expr("any_value(want_high) AS want_high")]
-            if wanted
-            else [F.expr("(sum(n) + 1) div 2 AS want_low"), F.expr("sum(n) div 2 + 1 AS want_high")]
-        ),
+        F.expr(f"filter(array_sort(collect_list({entry})), x -> x.code >= 0) AS codes"),
+        *[F.expr(f"any_value({c}) AS {c}") for c in wanted],
     )
-    start = "named_struct('upto', 0L, 'low', CAST(NULL AS BIGINT), 'high', CAST(NULL AS BIGINT), 'before', 0L)"
+    if not wanted:
+        total = listed.selectExpr("*", "aggregate(codes, 0L, (a, x) -> a + x.n) AS total")
+        listed = total.selectExpr(*SERIES, "codes", "(total + 1) div 2 AS want_low", "total div 2 + 1 AS want_high")
+    kind = "STRUCT<code: BIGINT, n: BIGINT, least: BIGINT, most: BIGINT>"
+    start = f"named_struct('upto', 0L, 'low', CAST(NULL AS {kind}), 'high', CAST(NULL AS {kind}), 'before', 0L)"
     holds = "a.{0} IS NULL AND a.upto + x.n >= want_{0}"
     found = (
         f"aggregate(codes, {start}, (a, x) -> named_struct('upto', a.upto + x.n, "
-        f"'low', CASE WHEN {holds.format('low')} THEN x.code ELSE a.low END, "
-        f"'high', CASE WHEN {holds.format('high')} THEN x.code ELSE a.high END, "
+        f"'low', CASE WHEN {holds.format('low')} THEN x ELSE a.low END, "
+        f"'high', CASE WHEN {holds.format('high')} THEN x ELSE a.high END, "
         f"'before', CASE WHEN {holds.format('low')} THEN a.upto ELSE a.before END))"
     )
     return listed.selectExpr(*SERIES, "want_low", "want_high", f"{found} AS at").selectExpr(
-        *SERIES, "at.low", "at.high", "at.before", "want_low - at.before AS want_low", "want_high - at.before AS want_high"
+        *SERIES, "at.low", "at.high", "want_low - at.before AS want_low", "want_high - at.before AS want_high"
     )
 
 
 def median_steps(histogram: DataFrame, series_small: bool | None = None) -> DataFrame:
     """AGG-8: (series, low_us, high_us), the two middle steps of each series; their mean is the exact median.
 
-    Selection instead of sorting: steps are counted by their length and first COARSE digits; of the few
-    codes that hold the wanted ranks, by their first FINE digits; and of what is left one by one. Wanted
-    ranks are neighbours, so no other code lies between theirs. The first two lists are bounded by the
-    digits. The last is bounded by time: codes of steps of two to the k microseconds span 2^(k - FINE)
-    values, and a series of 100 years has at most 2^(52 - k) such steps, so about 2^16 distinct ones.
+    Selection instead of sorting: steps are counted by their length and first CODE_BITS digits. Where the codes
+    that hold the wanted ranks have one step each, as on any grid, that is all. Else their steps are
+    counted one by one; wanted ranks are neighbours, so no other code lies between theirs. Codes are bounded
+    by the digits: 2^18 at most, and no more than a series has distinct steps. What is left is bounded by time:
+    codes of steps of two to the k microseconds span 2^(k - CODE_BITS) values, and a series of 100 years has at
+    most 2^(52 - k) such steps, so fewer than 2^20 distinct ones.
     """
-    steps = histogram.where("step_us IS NOT NULL").select(*SERIES, "step_us", "n")
     if series_small is None:
-        series_small = series_fit(steps)
-    for code in (_code(COARSE), _code(FINE)):
-        coded = steps.select(*SERIES, "step_us", "n", F.expr(code).alias("code"))
-        met = attach(coded, _at_ranks(steps, code), SERIES, "inner", small_fits=series_small)
-        steps = met.where("code BETWEEN low AND high").select(*SERIES, "step_us", "n", "want_low", "want_high")
-    return _at_ranks(steps, "step_us").selectExpr(*SERIES, "low AS low_us", "high AS high_us")
+        series_small = series_fit(histogram)
+    coded = histogram.select(*SERIES, "step_us", "n", F.expr(_code(CODE_BITS)).alias("code"))
+    first = _at_ranks(coded).withColumn("known", F.expr("low.least = low.most AND high.least = high.most"))
+    known = first.where("known IS NULL OR known").selectExpr(*SERIES, "low.least AS low_us", "high.least AS high_us")
+    open_codes = first.where("NOT known").selectExpr(*SERIES, "low.code AS low", "high.code AS high", "want_low", "want_high")
+    near = attach(coded, open_codes, SERIES, "inner", small_fits=series_small).where("code BETWEEN low AND high")
+    second = _at_ranks(near.select(*SERIES, "step_us", "n", F.expr("coalesce(step_us, -1L) AS code"), "want_low", "want_high"))
+    return known.unionByName(second.selectExpr(*SERIES, "low.code AS low_us", "high.code AS high_us"))
 
 
 def with_median(histogram: DataFrame, series_small: bool | None = None) -> DataFrame:

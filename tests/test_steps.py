@@ -87,11 +87,10 @@ def jittered(seed, n):
     return rows
 
 
-@pytest.mark.parametrize("digits", [(1, 2), (2, 4), (8, 21)])
+@pytest.mark.parametrize("digits", [1, 3, 13])
 @pytest.mark.parametrize("n", [2, 3, 400, 401])
 def test_median_of_irregular_steps_is_exact(bars_of_rows, monkeypatch, digits, n):
-    monkeypatch.setattr(steps, "COARSE", digits[0])
-    monkeypatch.setattr(steps, "FINE", digits[1])
+    monkeypatch.setattr(steps, "CODE_BITS", digits)
     rows = jittered(n, n)
     got = {r["ticker"]: r["median_step_us"] for r in steps.step_counts(bars_of_rows(rows)).collect()}
     assert got == {key[0]: median for key, (_, _, median) in expected(rows).items()}
@@ -100,13 +99,13 @@ def test_median_of_irregular_steps_is_exact(bars_of_rows, monkeypatch, digits, n
 def test_codes_rise_with_steps(spark):
     edges = sorted({max(0, 2**k + d) for k in range(0, 62, 3) for d in (-1, 0, 1)})
     df = spark.createDataFrame([(x,) for x in edges], "step_us long")
-    for bits in (1, steps.COARSE, steps.FINE):
+    for bits in (1, 2, 8, steps.CODE_BITS, 21):
         codes = [r[0] for r in df.selectExpr(steps._code(bits), "step_us").orderBy("step_us").collect()]
         assert codes == sorted(codes)
 
 
 def test_no_window_gathers_a_series(spark):
-    histogram = spark.createDataFrame([("A", "1m", s, n) for s, n in [(0, 4), (5, 1), (70, 2), (10**12, 1)]], "ticker string, timeframe string, step_us long, n long")
+    histogram = spark.createDataFrame([("A", "1m", s, n) for s, n in [(0, 4), (5, 1), (70, 2), (10**12, 1), (None, 50)]], "ticker string, timeframe string, step_us long, n long")
     found = steps.median_steps(histogram)
     assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert [tuple(r) for r in found.collect()] == [("A", "1m", 0, 5)]
