@@ -20,7 +20,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 from barlake.schema import SERIES
-from barlake.sources.fetch import FETCHED, Fetcher, answer, as_table
+from barlake.sources.fetch import FETCHED, Fetcher, answered
 
 NAME = "bar_fetch"
 MAX_PLAN_ROWS = 100_000
@@ -60,10 +60,7 @@ class FetchReader(DataSourceReader):
         return [PlanRows(self.plan[at : at + self.rows]) for at in range(0, len(self.plan), self.rows)] or [PlanRows([])]
 
     def read(self, partition: PlanRows) -> Iterator[pa.RecordBatch]:
-        for row in partition.rows:
-            found = answer(self.fetcher, *row)
-            if found:
-                yield from as_table([found]).to_batches()
+        yield from answered(self.fetcher, partition.rows)
 
 
 def fetch_source(plan: list[tuple[str, str, str]], fetcher: Fetcher, name: str = NAME) -> type[DataSource]:

@@ -37,6 +37,57 @@ def test_fetch_isolates_failures(fetched):
     ]
 
 
+TIMES = {
+    "SPACE": (["2024-01-02 09:30:00-05:00", "2024-07-02 09:30:00-04:00"], [(2024, 1, 2, 14, 30), (2024, 7, 2, 13, 30)]),
+    "T": (["2024-01-02T09:30:00+02:00"] * 2, [(2024, 1, 2, 7, 30)] * 2),
+    "NAIVE": (["2024-01-02 09:30:00"] * 2, [(2024, 1, 2, 9, 30)] * 2),
+    "DAYS": (["2024-01-02", "2024-01-03"], [(2024, 1, 2), (2024, 1, 3)]),
+    "DAY_FIRST": (["13/02/2024", "01/02/2024"], [(2024, 2, 13), (2024, 2, 1)]),
+    "MONTH_FIRST": (["01/02/2024", "01/13/2024"], [(2024, 1, 2), (2024, 1, 13)]),
+    "GAP": (["2024-01-02", None], [(2024, 1, 2), None]),
+    "MIXED": (["2024-01-02", "2024-01-02 09:30:00"], "ValueError"),
+    "NO_DAY": (["2024-01-02", "2024-02-30"], "ValueError"),
+    "ZONED": (pd.to_datetime(["2024-01-02 09:30", "2024-07-02 09:30"]).tz_localize("US/Eastern"), [(2024, 1, 2, 14, 30), (2024, 7, 2, 13, 30)]),
+}
+
+
+def times_vendor(ticker, timeframe, period):
+    return pd.DataFrame({"index": TIMES[ticker][0], "Open": 1, "High": [True, False], "Low": ["1", "x"], "Close": 1.5, "Volume": 2})
+
+
+def test_times_of_many_answers_are_read_as_those_of_one():
+    rows = [(ticker, "5m", "60d") for ticker in TIMES] * 3
+    got = [row for batch in fetch.answered(times_vendor, rows) for row in batch.to_pylist()]
+    for ticker, (_, want) in TIMES.items():
+        own = [row for row in got if row["ticker"] == ticker]
+        if isinstance(want, str):
+            assert len(own) == 3 and all(want in row["error"] and row["seq"] is row["ts"] is None for row in own)
+            continue
+        assert [row["ts"] for row in own] == [when and datetime(*when) for when in want] * 3
+        assert [(row["seq"], row["high"], row["low"], row["error"]) for row in own] == [(0, 1.0, 1.0, None), (1, 0.0, None, None)] * 3
+
+
+def test_daily_bars_keep_their_written_day():
+    def vendor(ticker, timeframe, period):
+        offsets = {"EAST": ["+02:00"] * 2, "WEST": ["-05:00"] * 2, "BOTH": ["-05:00", "-04:00"]}[ticker]
+        return pd.DataFrame({"index": [f"2024-01-02 23:00:00{o}" for o in offsets], **{c: 1.0 for c in ("Open", "High", "Low", "Close", "Volume")}})
+
+    (batch,) = fetch.answered(vendor, [(t, "1d", "max") for t in ("EAST", "WEST", "BOTH", "EAST")])
+    rows = [row for row in batch.to_pylist() if not row["error"]]
+    assert [row["ticker"] for row in rows] == ["EAST", "EAST", "WEST", "WEST", "EAST", "EAST"]
+    assert {row["ts"] for row in rows} == {datetime(2024, 1, 2)}
+
+
+def test_times_are_read_once_for_many_answers(monkeypatch):
+    """Not one call with a form to infer for each of a million small answers."""
+    calls = []
+    read = pd.to_datetime
+    monkeypatch.setattr(fetch.pd, "to_datetime", lambda *a, **b: calls.append(b) or read(*a, **b))
+    rows = [(f"T{i}", size, "60d") for i in range(300) for size in ("5m", "1d")]
+    fetched = list(fetch.answered(lambda *row: fetcher(*row), rows))
+    assert sum(batch.num_rows for batch in fetched) == 1200 and len(calls) == 2
+
+
 def test_fetched_bars_survive_the_landing_zone(spark, fetched, tmp_path):
     path = str(tmp_path / "landing")
     store.write_fetched(fetch.fetched_bars(fetched), path)
