@@ -14,6 +14,7 @@ from barlake.operators import counters, filters, freshness, keyed, returns, step
 from barlake.operators.lookup import series_fit
 from barlake.plans import clean, merge, publish, quality, quality_state
 from barlake.schema import BAR_COLUMNS, KEY, SERIES, TS, VALUES
+from barlake.session import work_folder
 from barlake.sinks.file_states import errors_of
 from barlake.sinks.series_state import combined
 from barlake.sources import fetch, universe
@@ -558,7 +559,7 @@ def pluggable_fetch(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def fetch_as_source(spark: SparkSession, sf: str) -> DataFrame:
     """SRC-4 as a data source: the same plan read through ``spark.read.format``, failures asked again once."""
-    register_fetch_source(spark, _customer_plan(spark, sf), _vendor(), "customer_bars")
+    register_fetch_source(spark, _customer_plan(spark, sf), _vendor(), "customer_bars", work_folder(spark))
     options = {"rowsPerPartition": 1000, "retries": 1, "wait": 0}
     return spark.read.format("customer_bars").options(**options).load()
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,24 +15,11 @@ from barlake.plans.clean import bars_of, clean_landing
 from barlake.plans.publish import Target
 from barlake.plans.quality_state import counters_of, take_in_deltas
 from barlake.schema import BAR_COLUMNS, VALUES
+from barlake.session import work_folder
 from barlake.sinks import bucketed, compaction, store
 from barlake.sinks.series_state import read_state
 from barlake.sources.lake import read_bars
 
-_LOCAL: list[str] = []
-
-
-def work_folder(spark: SparkSession) -> str:
-    """A new folder that all executors share: in ``spark.checkpoint.dir``, or on this machine if it is the only one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        if not _LOCAL:
-            _LOCAL.append(tempfile.mkdtemp(prefix="barlake-"))
-        base = _LOCAL[0]
-    return f"{base.rstrip('/')}/lake-{uuid.uuid4().hex}"
-
 
 def _merged_lake(spark: SparkSession, sf: str) -> workflow.Lake:
     """A lake into which two deliveries were merged, the second one twice."""

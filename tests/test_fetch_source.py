@@ -3,6 +3,7 @@
 import pandas as pd
 import pytest
 
+from barlake.catalog import queries
 from barlake.sources import datasource, fetch, universe
 from tests.conftest import as_sorted
 
@@ -62,3 +63,29 @@ def test_limits(spark, plan, tmp_path, monkeypatch):
     datasource.register_fetch_source(spark, plan.limit(2), logging_vendor(str(tmp_path)), "few_bars")
     with pytest.raises(Exception, match="rowsPerPartition"):
         spark.read.format("few_bars").option("rowsPerPartition", 0).load().collect()
+
+
+def test_a_stored_plan_may_have_any_size(spark, tmp_path, monkeypatch):
+    """A plan above the limit goes by way of a folder; every row is asked for once, null ones too."""
+    monkeypatch.setattr(datasource, "MAX_PLAN_ROWS", 10)
+    monkeypatch.setattr(datasource, "ROWS_PER_FILE", 4)
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    tickers = spark.createDataFrame([(t,) for t in ["NEVER", "NONE", None, "A", "A", *(f"T{i}" for i in range(18))]], "ticker string")
+    plan = universe.fetch_plan(tickers, ["5m"], with_daily=False).repartition(2)
+    datasource.register_fetch_source(spark, plan, logging_vendor(str(calls)), "many_bars", str(tmp_path / "a plan % é"))
+    for options, partitions in (({}, 8), ({"rowsPerPartition": 7}, 4), ({"rowsPerPartition": 1}, 23)):
+        read = spark.read.format("many_bars").options(retries=0, **options).load()
+        assert read.rdd.getNumPartitions() == partitions
+    rows = read.collect()
+    assert len(list(calls.iterdir())) == 23
+    want = fetch.fetch(plan, logging_vendor(str(calls)), tasks=2).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, want)) and len(rows) == 43
+    datasource.register_fetch_source(spark, plan.limit(0), logging_vendor(str(calls)), "none_stored", str(tmp_path / "none"))
+    assert spark.read.format("none_stored").load().count() == 0
+
+
+def test_the_registered_query_takes_more_than_the_limit(spark, small_sf, monkeypatch):
+    monkeypatch.setattr(datasource, "MAX_PLAN_ROWS", 10)
+    rows, want = (queries.REGISTRY[name](spark, small_sf).collect() for name in ("fetch_as_source", "pluggable_fetch"))
+    assert sorted(map(str, rows)) == sorted(map(str, want)) and len(rows) > 100
